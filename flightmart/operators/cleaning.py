@@ -113,8 +113,13 @@ def clean_flights(raw: DataFrame, sentinels: tuple[str, ...] = TAILNUM_SENTINELS
 
 
 def to_flights_table(clean: DataFrame) -> DataFrame:
-    """Project a cleaned frame onto the 31-column FLIGHTS_DLT schema, by name."""
-    return clean.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FLIGHTS.fields])
+    """Project a cleaned frame onto the 31-column FLIGHTS_DLT schema, by name
+    (columns the file did not carry are NULL)."""
+    present = {c.lower() for c in clean.columns}
+    return clean.select(*[
+        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in FLIGHTS.fields
+    ])
 
 
 def load_profile(raw: DataFrame, by: tuple[str, ...] = (), sentinels: tuple[str, ...] = TAILNUM_SENTINELS) -> DataFrame:

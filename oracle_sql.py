@@ -171,7 +171,8 @@ def dim_chain(dim: str, n_loads: int, with_keys: bool = False) -> tuple[list[str
         ctes.append(f"{n}stg{i} as ({stage_sql(dim, b)})")
         ctes.append(f"{n}cur{i} as (select * from {p} where {A} between efft_date and expy_date)")
         ctes.append(
-            f"{n}new{i} as (select dlt.* from {n}stg{i} dlt left join {n}cur{i} dim on {on} where {nulls})")
+            f"{n}new{i} as (select {', '.join('dlt.' + c for c in cols)} from {n}stg{i} dlt "
+            f"left join {n}cur{i} dim on {on} where {nulls})")
         ctes.append(
             f"{n}chg{i} as (select {', '.join('dlt.' + c for c in cols)} from "
             f"(select *, {d['content'].format(p='')} as content from {n}stg{i}) dlt join "
