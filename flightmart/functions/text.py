@@ -66,12 +66,21 @@ _BOOL_TRUE = tuple(_prefixes("true") + _prefixes("yes") + ["on", "1"])
 _BOOL_FALSE = tuple(_prefixes("false") + _prefixes("no") + _prefixes("off", 2) + ["0"])
 
 
+def _bool_words() -> Column:
+    pairs = [(w, True) for w in _BOOL_TRUE] + [(w, False) for w in _BOOL_FALSE]
+    return F.create_map(*[x for w, v in pairs for x in (F.lit(w), F.lit(v))])
+
+
+def pg_bool_or_null(c: Column) -> Column:
+    """Text to boolean as the warehouse loader parses it; NULL for unknown text.
+
+    One lookup in a literal map keeps the generated code small (an IN list
+    per outcome would be unrolled into the fused stage).
+    """
+    return F.try_element_at(_bool_words(), F.lower(F.trim(c)))
+
+
 def pg_bool(c: Column, column_name: str) -> Column:
-    """Text to boolean as the warehouse loader parses it; unknown text fails the batch."""
-    v = F.lower(F.trim(c))
-    return (
-        F.when(c.isNull(), F.lit(None).cast("boolean"))
-        .when(v.isin(*_BOOL_TRUE), F.lit(True))
-        .when(v.isin(*_BOOL_FALSE), F.lit(False))
-        .otherwise(F.raise_error(F.concat(F.lit(f"invalid boolean in {column_name}: "), c)).cast("boolean"))
-    )
+    """As :func:`pg_bool_or_null`, but unknown text fails the batch."""
+    bad = F.when(c.isNotNull(), F.raise_error(F.concat(F.lit(f"invalid boolean in {column_name}: "), c)))
+    return F.coalesce(pg_bool_or_null(c), bad.cast("boolean"))

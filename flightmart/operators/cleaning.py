@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightmart.functions import (
-    first_word, na_to_null, part_after_first, part_before, pg_bool, py_lstrip,
+    first_word, na_to_null, part_after_first, part_before, pg_bool, pg_bool_or_null, py_lstrip,
 )
-from flightmart.schemas import FLAG_TRUE_TOKENS, FLIGHTS, TAILNUM_SENTINELS
+from flightmart.schemas import FLAG_TRUE_TOKENS, FLIGHTS, NA_TOKENS, TAILNUM_SENTINELS
 
 DATE_MASK = "yyyyMMdd"
 
@@ -94,22 +94,98 @@ def with_raw_columns(df: DataFrame) -> DataFrame:
     return df.select("*", *missing) if missing else df
 
 
+def _missing(c: str) -> Column:
+    """NULL after the reader's NA handling (NULL or an NA token)."""
+    return F.col(c).isNull() | F.col(c).isin(*NA_TOKENS)
+
+
+def _kept(sentinels: tuple[str, ...]) -> Column:
+    # NA tokens are never flag values, so the flags need no NA handling.
+    t = F.col("tailnum")
+    return (~_flag_set("cancelled")) & (~_flag_set("diverted")) & ~_missing("tailnum") & ~t.isin(*sentinels)
+
+
+def _bad_bool(c: str) -> Column:
+    # No NA token parses as a boolean, so a NULL parse of present text is bad.
+    return ~_missing(c) & pg_bool_or_null(F.col(c)).isNull()
+
+
+# Rules that reject the whole batch when a kept row breaks them. No NA token
+# contains ':', so the ':' rules need no NA handling either.
+_BATCH_RULES = (
+    (lambda: _missing("depdelay"), "missing DEPDELAY"),
+    (lambda: _missing("airlinename"), "missing AIRLINENAME"),
+    (lambda: F.instr(F.col("origairportname"), ":") == 0, "no ':' in ORIGAIRPORTNAME"),
+    (lambda: F.instr(F.col("destairportname"), ":") == 0, "no ':' in DESTAIRPORTNAME"),
+    (lambda: _missing("distance"), "missing DISTANCE"),
+    (lambda: _bad_bool("cancelled"), "invalid CANCELLED"),
+    (lambda: _bad_bool("diverted"), "invalid DIVERTED"),
+)
+
+
+def _row_gate(sentinels: tuple[str, ...]) -> Column:
+    """Keep/drop decision with all batch rejections folded in.
+
+    The date is parsed before any row is dropped (an unreadable date anywhere
+    rejects the batch); the other rules apply to kept rows only. The message
+    stays short on purpose: the fused stage must stay under the JIT's method
+    size limit. :func:`batch_violations` reports which rules a file breaks.
+    """
+    d = F.col("flightdate")
+    bad_date = ~_missing("flightdate") & F.try_to_date(d, DATE_MASK).isNull()
+    any_bad = None
+    for rule, _ in _BATCH_RULES:
+        c = F.coalesce(rule(), F.lit(True))
+        any_bad = c if any_bad is None else any_bad | c
+    return (
+        F.when(bad_date, _fail("batch rejected: unparseable FLIGHTDATE ", d).cast("boolean"))
+        .when(~_kept(sentinels), F.lit(False))
+        .when(any_bad, _fail("batch rejected: a kept row breaks a load rule, see batch_violations(); "
+                             "transactionid ", F.col("transactionid")).cast("boolean"))
+        .otherwise(F.lit(True))
+    )
+
+
+def batch_violations(raw: DataFrame, sentinels: tuple[str, ...] = TAILNUM_SENTINELS) -> DataFrame:
+    """One row: how many rows break each rule that rejects a batch (one aggregate pass)."""
+    df = with_raw_columns(raw)
+    kept = _kept(sentinels)
+    d = F.col("flightdate")
+    aggs = [F.count_if(~_missing("flightdate") & F.try_to_date(d, DATE_MASK).isNull())
+            .alias("unparseable FLIGHTDATE")]
+    aggs += [F.count_if(kept & F.coalesce(rule(), F.lit(True))).alias(msg) for rule, msg in _BATCH_RULES]
+    return df.agg(*aggs)
+
+
 def clean_flights(raw: DataFrame, sentinels: tuple[str, ...] = TAILNUM_SENTINELS) -> DataFrame:
-    """Raw text rows -> typed, filtered flight rows (extra columns pass through)."""
-    df = normalize_na(with_raw_columns(raw))
-    keep = (~_flag_set("cancelled")) & (~_flag_set("diverted")) & F.col("tailnum").isNotNull() \
-        & ~F.col("tailnum").isin(*sentinels)
-    df = df.where(_date_gate(keep))
-    return df.withColumns({
-        "flightdate": F.to_date(F.col("flightdate"), DATE_MASK),
-        "depdelay": dep_delay_int(F.col("depdelay")),
-        "airlinename": clean_airline_name(F.col("airlinename")),
-        "origairportname": clean_airport_name(F.col("origairportname"), "ORIGAIRPORTNAME"),
-        "destairportname": clean_airport_name(F.col("destairportname"), "DESTAIRPORTNAME"),
-        "distance": distance_int(F.col("distance")),
-        "cancelled": pg_bool(F.col("cancelled"), "CANCELLED"),
-        "diverted": pg_bool(F.col("diverted"), "DIVERTED"),
-    })
+    """Raw text rows -> typed, filtered flight rows (extra columns pass through).
+
+    One filter (keep rules + batch rejection) and one projection: a single
+    narrow pass. The rules read the raw text and apply NA handling only where
+    a token could change the outcome, so each raw value is tested against the
+    NA set about once; duplicating that test into every rule made the fused
+    stage too large for the JIT. Rows that reach the projection have passed the
+    rules, so the typed columns parse the raw text directly (a non-numeric
+    DEPDELAY / DISTANCE fails the ANSI cast).
+    """
+    df = with_raw_columns(raw)
+    typed = {
+        "flightdate": F.try_to_date(F.col("flightdate"), DATE_MASK),
+        "depdelay": F.col("depdelay").cast("double").cast("int"),
+        "airlinename": part_before(F.col("airlinename"), ":"),
+        "origairportname": py_lstrip(part_after_first(F.col("origairportname"), ":")),
+        "destairportname": py_lstrip(part_after_first(F.col("destairportname"), ":")),
+        "distance": first_word(F.col("distance")).cast("int"),
+        "cancelled": pg_bool_or_null(F.col("cancelled")),
+        "diverted": pg_bool_or_null(F.col("diverted")),
+    }
+    out = [
+        typed[f.name].alias(f.name) if f.name in typed
+        else na_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType)
+        else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    return df.where(_row_gate(sentinels)).select(*out)
 
 
 def to_flights_table(clean: DataFrame) -> DataFrame:
@@ -126,7 +202,7 @@ def load_profile(raw: DataFrame, by: tuple[str, ...] = (), sentinels: tuple[str,
     """Row counts before cleaning, per reject reason, and after — one aggregate pass."""
     df = normalize_na(with_raw_columns(raw))
     t = F.col("tailnum")
-    kept = (~_flag_set("cancelled")) & (~_flag_set("diverted")) & t.isNotNull() & ~t.isin(*sentinels)
+    kept = _kept(sentinels)
     aggs = [
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(_flag_set("cancelled")).alias("cancelled_rows"),

@@ -22,6 +22,9 @@ RECOMMENDED_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a fused
+    # stage above that runs interpreted (measured 3-4x slower than no fusion).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Dynamic overwrite lets a rerun replace one load-date partition of the fact.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
