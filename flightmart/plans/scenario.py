@@ -4,8 +4,8 @@ Every function takes ``(spark, sf_dir)`` and returns a DataFrame computed from
 the driver tables. The load history is the one of FIXTURES.md: batch 0 loaded
 as of 2024-01-01, batch 1 as of 2024-02-01, batch 1 again the same day, then
 batch 0 as of 2024-03-01. Dimensions are carried between loads as DataFrames
-whose lineage is cut with ``checkpoint()`` (in the cluster's checkpoint folder)
-after every load.
+whose lineage is cut after every load by writing them to the cluster's shared
+checkpoint folder (``materialize``).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from flightmart.operators import cleaning, fact, scd2, staging
 from flightmart.operators.view import vw_flights
 from flightmart.plans.daily_load import LoadOptions, daily_load
 from flightmart.schemas import AIR_ROUTE, AIRPLANE, AIRPORT, DIMS, FLIGHTS
-from flightmart.session import scratch_path, shared_dir
+from flightmart.session import materialize, scratch_path
 from flightmart.sources.feed import FEED_COLUMNS, batch_feed, raw_feed
 from flightmart.sources.pipe_file import read_pipe_file, write_pipe_file
 from flightmart.sources.store import TableStore
@@ -38,10 +38,16 @@ SECOND = LOADS[1]
 # ---------------------------------------------------------------------------
 
 
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived feed written once as the raw input, as a file scan feeds a
+    real load (cleaning rules are then not fused into the feed's own
+    projection, which would make one oversized generated method)."""
+    return materialize(raw_feed(spark, sf_dir), "raw")
+
+
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned flights of both batches (``batch`` passes through), lineage cut."""
-    shared_dir(spark)
-    return cleaning.clean_flights(raw_feed(spark, sf_dir)).select(*FEED_COLUMNS).checkpoint()
+    return materialize(cleaning.clean_flights(_raw(spark, sf_dir)).select(*FEED_COLUMNS), "clean")
 
 
 def _batch(clean: DataFrame, b: int) -> DataFrame:
@@ -54,7 +60,7 @@ def _dim_history(spark: SparkSession, clean: DataFrame, spec, loads=LOADS) -> li
     out = []
     for as_of, b in loads:
         stage = staging.STAGERS[spec.name](_batch(clean, b))
-        dim = scd2.scd2_step(dim, stage, spec, as_of).checkpoint()
+        dim = materialize(scd2.scd2_step(dim, stage, spec, as_of), spec.name)
         out.append(dim)
     return out
 
@@ -80,28 +86,28 @@ def q_scan_pipe_file(spark, sf_dir):
 
 
 def q_na_tokens(spark, sf_dir):
-    return cleaning.normalize_na(raw_feed(spark, sf_dir))
+    return cleaning.normalize_na(_raw(spark, sf_dir))
 
 
 def q_drop_cancelled(spark, sf_dir):
-    return cleaning.drop_cancelled(cleaning.normalize_na(raw_feed(spark, sf_dir)))
+    return cleaning.drop_cancelled(cleaning.normalize_na(_raw(spark, sf_dir)))
 
 
 def q_drop_diverted(spark, sf_dir):
-    return cleaning.drop_diverted(cleaning.normalize_na(raw_feed(spark, sf_dir)))
+    return cleaning.drop_diverted(cleaning.normalize_na(_raw(spark, sf_dir)))
 
 
 def q_drop_bad_tailnum(spark, sf_dir):
-    return cleaning.drop_bad_tailnum(cleaning.normalize_na(raw_feed(spark, sf_dir)))
+    return cleaning.drop_bad_tailnum(cleaning.normalize_na(_raw(spark, sf_dir)))
 
 
 def q_clean_names(spark, sf_dir):
-    df = cleaning.clean_names(cleaning.normalize_na(raw_feed(spark, sf_dir)))
+    df = cleaning.clean_names(cleaning.normalize_na(_raw(spark, sf_dir)))
     return df.select("batch", "transactionid", "airlinename", "origairportname", "destairportname")
 
 
 def q_clock_to_int(spark, sf_dir):
-    df = cleaning.normalize_na(raw_feed(spark, sf_dir))
+    df = cleaning.normalize_na(_raw(spark, sf_dir))
     return df.select(
         "transactionid",
         *[clock_to_int(F.col(c)).alias(f"{c}_int") for c in ("deptime", "arrtime", "actualelapsedtime")],
@@ -109,11 +115,11 @@ def q_clock_to_int(spark, sf_dir):
 
 
 def q_clean_flights(spark, sf_dir):
-    return cleaning.clean_flights(raw_feed(spark, sf_dir)).select(*FEED_COLUMNS)
+    return cleaning.clean_flights(_raw(spark, sf_dir)).select(*FEED_COLUMNS)
 
 
 def q_load_profile(spark, sf_dir):
-    return cleaning.load_profile(raw_feed(spark, sf_dir), by=("batch",))
+    return cleaning.load_profile(_raw(spark, sf_dir), by=("batch",))
 
 
 # ---------------------------------------------------------------------------
@@ -122,7 +128,7 @@ def q_load_profile(spark, sf_dir):
 
 
 def _measured(spark, sf_dir):
-    return fact.measures(cleaning.clean_flights(raw_feed(spark, sf_dir)))
+    return fact.measures(cleaning.clean_flights(_raw(spark, sf_dir)))
 
 
 def q_distance_group(spark, sf_dir):
@@ -140,7 +146,7 @@ def q_next_day_arrival(spark, sf_dir):
 
 
 def q_next_day_arrival_fixed(spark, sf_dir):
-    df = fact.measures(cleaning.clean_flights(raw_feed(spark, sf_dir)), fixed_next_day=True)
+    df = fact.measures(cleaning.clean_flights(_raw(spark, sf_dir)), fixed_next_day=True)
     return df.select("transactionid", F.col("nextdayarr").cast("int").alias("nextdayarr"))
 
 
@@ -151,7 +157,7 @@ def q_next_day_arrival_fixed(spark, sf_dir):
 
 def _stage_query(name):
     def q(spark, sf_dir):
-        clean = cleaning.clean_flights(raw_feed(spark, sf_dir))
+        clean = cleaning.clean_flights(_raw(spark, sf_dir))
         return staging.STAGERS[name](clean, by=("batch",))
     return q
 

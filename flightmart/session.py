@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are designed around. Sizes are per-cluster decisions; these
 # are safe defaults for a large cluster (AQE coalesces small shuffles anyway).
@@ -62,3 +62,16 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared folder for one run."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but in one job (a reliable RDD
+    checkpoint recomputes its plan a second time to write), and keeps the
+    columnar format, so later scans prune columns and push filters.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
