@@ -11,6 +11,7 @@ checkpoint folder (``materialize``).
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,8 +66,12 @@ def _dim_history(spark: SparkSession, clean: DataFrame, spec, loads=LOADS) -> li
     return out
 
 
-def _dims_after(spark: SparkSession, clean: DataFrame, n: int) -> dict[str, DataFrame]:
-    return {name: _dim_history(spark, clean, spec, LOADS[:n])[-1] for name, spec in DIMS.items()}
+def _histories(spark: SparkSession, clean: DataFrame, n: int) -> dict[str, list[DataFrame]]:
+    """All three dimension histories; they are independent, so their jobs are
+    submitted concurrently (as the daily load does)."""
+    with ThreadPoolExecutor(max_workers=len(DIMS)) as pool:
+        futs = {name: pool.submit(_dim_history, spark, clean, spec, LOADS[:n]) for name, spec in DIMS.items()}
+        return {name: f.result() for name, f in futs.items()}
 
 
 def _public(spec) -> list[str]:
@@ -236,7 +241,7 @@ def _scd2_query(spec):
 
 def _two_loads(spark, sf_dir):
     clean = _clean(spark, sf_dir)
-    hist = {name: _dim_history(spark, clean, spec, LOADS[:2]) for name, spec in DIMS.items()}
+    hist = _histories(spark, clean, 2)
     facts = []
     for i, (as_of, b) in enumerate(LOADS[:2]):
         f = fact.build_fact(_batch(clean, b), hist["dim_air_route"][i], hist["dim_airplane"][i])
