@@ -25,21 +25,32 @@ def bucket_of(cols: list[str], buckets: int = DEFAULT_BUCKETS) -> Column:
 
 def assign_keys(rows: DataFrame, key_col: str, start_after: Column | int,
                 order_cols: list[str] | None = None, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add ``key_col`` = start_after + 1 .. start_after + n over the (distinct) rows."""
+    """Add ``key_col`` = start_after + 1 .. start_after + n over the (distinct) rows.
+
+    One shuffle by bucket numbers the rows and counts each bucket in the same
+    window stage; the per-bucket counts are read back from that stage (the
+    exchange is reused, the input is not recomputed), turned into offsets and
+    broadcast (at most ``buckets`` rows).
+    """
     order_cols = order_cols or rows.columns
     b = rows.withColumn("_kb", bucket_of(order_cols, buckets))
-    counts = b.groupBy("_kb").agg(F.count(F.lit(1)).alias("_n"))
+    by_bucket = Window.partitionBy("_kb")
+    numbered = b.withColumns({
+        "_rn": F.row_number().over(by_bucket.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])),
+        "_n": F.count(F.lit(1)).over(by_bucket),
+    })
+    counts = numbered.where(F.col("_rn") == 1).select("_kb", "_n")
     # At most `buckets` rows: the running total runs in one small task.
     offsets = counts.select(
         "_kb",
-        (F.sum("_n").over(Window.orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).fillna(0, subset=["_off"])
+        F.coalesce(F.sum("_n").over(Window.orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
+    )
     base = start_after if isinstance(start_after, Column) else F.lit(start_after)
-    w = Window.partitionBy("_kb").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
     return (
-        b.join(F.broadcast(offsets), "_kb")
-        .withColumn(key_col, (base + F.col("_off") + F.row_number().over(w)).cast("int"))
-        .drop("_kb", "_off")
+        numbered.join(F.broadcast(offsets), "_kb")
+        .withColumn(key_col, (base + F.col("_off") + F.col("_rn")).cast("int"))
+        .drop("_kb", "_off", "_rn", "_n")
     )
 
 

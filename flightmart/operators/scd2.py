@@ -88,10 +88,11 @@ def expiry_pairs(dim: DataFrame, spec: DimSpec, as_of: dt.date) -> DataFrame:
     )
 
 
-def expire(dim: DataFrame, spec: DimSpec, as_of: dt.date, offset_days: int | None = None) -> DataFrame:
+def expire(dim: DataFrame, spec: DimSpec, as_of: dt.date, offset_days: int | None = None,
+           pairs: DataFrame | None = None) -> DataFrame:
     """Close the versions picked by :func:`expiry_pairs` (equality match on key and efft_date)."""
     offset = spec.expire_offset_days if offset_days is None else offset_days
-    pairs = expiry_pairs(dim, spec, as_of).withColumn("_hit", F.lit(True))
+    pairs = (expiry_pairs(dim, spec, as_of) if pairs is None else pairs).withColumn("_hit", F.lit(True))
     on = list(spec.keys) + ["efft_date"]
     joined = dim.join(pairs, on=on, how="left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
@@ -110,8 +111,19 @@ def scd2_step(prev: DataFrame, stage: DataFrame, spec: DimSpec, as_of: dt.date,
               key_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One load: insert new/changed versions, then expire superseded ones."""
     prev = prev.select(*spec.schema.fieldNames())
-    merged = prev.unionByName(inserts(stage, prev, spec, as_of, hash_style, key_buckets))
-    return expire(merged, spec, as_of, offset_days)
+    ins = inserts(stage, prev, spec, as_of, hash_style, key_buckets)
+    merged = prev.unionByName(ins)
+    # Every inserted row is current, so the current set is the previous
+    # current rows plus the inserts; both branches read the same keyed
+    # inserts, whose shuffle is then computed once and reused.
+    cur = current_as_of(prev, as_of).select(*spec.keys, "efft_date") \
+        .unionByName(ins.select(*spec.keys, "efft_date"))
+    pairs = (
+        cur.groupBy(*spec.keys)
+        .agg(F.count(F.lit(1)).alias("_cnt"), F.min("efft_date").alias("efft_date"))
+        .where(F.col("_cnt") > 1).drop("_cnt")
+    )
+    return expire(merged, spec, as_of, offset_days, pairs=pairs)
 
 
 # --- the warehouse's own window formulation (W1, W2), exposed for inspection ---
