@@ -7,7 +7,7 @@ once as two raw pipe-delimited files (batch 0 and batch 1), the input a real
 load starts from. Then each job runs as the warehouse runs it:
 
 - clean_flights: read both raw files, clean, write to the noop sink;
-- scd2_<dim>: the four loads of FIXTURES.md (stage, SCD2 step, snapshot write);
+- scd2_<dim>: the four loads of FIXTURES.md (stage table write, SCD2 step, snapshot write);
 - fact_flights: fact rows of loads 1 and 2 against the dimension snapshots;
 - vw_flights: the reporting view over that fact and the final dimensions;
 - two_batch_load: two complete daily loads from the raw files into a fresh
@@ -67,7 +67,7 @@ def main() -> None:
             dim = scd2.empty_dim(spark, spec)
             snaps = []
             for as_of, b in LOADS:
-                stage = staging.STAGERS[name](clean[b])
+                stage = materialize(staging.STAGERS[name](clean[b]), f"bench-stg-{name}")
                 dim = materialize(scd2.scd2_step(dim, stage, spec, as_of), f"bench-{name}")
                 snaps.append(dim)
             state[name] = snaps

@@ -109,7 +109,12 @@ def expire(dim: DataFrame, spec: DimSpec, as_of: dt.date, offset_days: int | Non
 def scd2_step(prev: DataFrame, stage: DataFrame, spec: DimSpec, as_of: dt.date, *,
               hash_style: str | None = None, offset_days: int | None = None,
               key_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """One load: insert new/changed versions, then expire superseded ones."""
+    """One load: insert new/changed versions, then expire superseded ones.
+
+    ``stage`` is read by several branches (anti join, semi join, key
+    assignment, expiry pairs); pass the written stage table (as the daily load
+    does), not a lazy aggregate over the flights, or each branch recomputes it.
+    """
     prev = prev.select(*spec.schema.fieldNames())
     ins = inserts(stage, prev, spec, as_of, hash_style, key_buckets)
     merged = prev.unionByName(ins)

@@ -60,7 +60,8 @@ def _dim_history(spark: SparkSession, clean: DataFrame, spec, loads=LOADS) -> li
     dim = scd2.empty_dim(spark, spec)
     out = []
     for as_of, b in loads:
-        stage = staging.STAGERS[spec.name](_batch(clean, b))
+        # the stage table is refilled and read back, as the load does
+        stage = materialize(staging.STAGERS[spec.name](_batch(clean, b)), f"stg-{spec.name}")
         dim = materialize(scd2.scd2_step(dim, stage, spec, as_of), spec.name)
         out.append(dim)
     return out
@@ -175,7 +176,7 @@ def _stage_query(name):
 def _second_load_inputs(spark, sf_dir, spec):
     clean = _clean(spark, sf_dir)
     dim1 = _dim_history(spark, clean, spec, LOADS[:1])[-1]
-    stage2 = staging.STAGERS[spec.name](_batch(clean, SECOND[1]))
+    stage2 = materialize(staging.STAGERS[spec.name](_batch(clean, SECOND[1])), f"stg-{spec.name}")
     return clean, dim1, stage2
 
 
