@@ -138,7 +138,7 @@ def _row_gate(sentinels: tuple[str, ...]) -> Column:
         c = F.coalesce(rule(), F.lit(True))
         any_bad = c if any_bad is None else any_bad | c
     return (
-        F.when(bad_date, _fail("batch rejected: unparseable FLIGHTDATE ", d).cast("boolean"))
+        F.when(bad_date, _fail("batch rejected: unparseable FLIGHTDATE, see batch_violations()").cast("boolean"))
         .when(~_kept(sentinels), F.lit(False))
         .when(any_bad, _fail("batch rejected: a kept row breaks a load rule, see batch_violations(); "
                              "transactionid ", F.col("transactionid")).cast("boolean"))
