@@ -62,3 +62,13 @@ def test_malformed_row_fails_the_scan(spark):
         .coalesce(1).write.text(path)
     with pytest.raises(Exception, match="FAILED_READ_FILE|Malformed"):
         read_pipe_file(spark, path).collect()
+
+
+def test_files_with_different_headers_fail(spark):
+    root = scratch_path(spark, "t-hdr")
+    for name, cols in (("a", "TRANSACTIONID string, TAILNUM string"), ("b", "TAILNUM string, TRANSACTIONID string")):
+        spark.createDataFrame([("1", "N1")], cols).write.options(sep="|", header="true").csv(f"{root}/{name}")
+    ok = read_pipe_file(spark, [f"{root}/a", f"{root}/a"]).collect()
+    assert len(ok) == 2
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_pipe_file(spark, [f"{root}/a", f"{root}/b"]).collect()
