@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightmart.functions import (
-    first_word, na_to_null, part_after_first, part_before, pg_bool, pg_bool_or_null, py_lstrip,
+    first_word, na_to_null, part_after_first, part_before, pg_bool_or_null, py_lstrip,
 )
 from flightmart.schemas import FLAG_TRUE_TOKENS, FLIGHTS, NA_TOKENS, TAILNUM_SENTINELS
 
@@ -51,14 +51,6 @@ def drop_bad_tailnum(df: DataFrame, sentinels: tuple[str, ...] = TAILNUM_SENTINE
     return df.where(t.isNotNull() & ~t.isin(*sentinels))
 
 
-def _date_gate(keep: Column) -> Column:
-    # The date is parsed before any row is dropped, so an unreadable date
-    # anywhere in the file rejects the batch.
-    d = F.col("flightdate")
-    bad = d.isNotNull() & F.try_to_date(d, DATE_MASK).isNull()
-    return F.when(bad, _fail("unparseable FLIGHTDATE: ", d).cast("boolean")).otherwise(keep)
-
-
 def clean_airline_name(c: Column) -> Column:
     return F.when(c.isNull(), _fail("missing AIRLINENAME")).otherwise(part_before(c, ":"))
 
@@ -77,16 +69,6 @@ def clean_names(df: DataFrame) -> DataFrame:
     })
 
 
-def dep_delay_int(c: Column) -> Column:
-    """Float text to int, truncating; NULL rejects the batch."""
-    return F.when(c.isNull(), _fail("missing DEPDELAY")).otherwise(c.cast("double").cast("int"))
-
-
-def distance_int(c: Column) -> Column:
-    """'569 miles' -> 569; the number must be an integer."""
-    return F.when(c.isNull(), _fail("missing DISTANCE")).otherwise(first_word(c).cast("int"))
-
-
 def with_raw_columns(df: DataFrame) -> DataFrame:
     """Bind raw columns by name: the file header may hold any subset of them."""
     present = {c.lower() for c in df.columns}

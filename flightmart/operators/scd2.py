@@ -153,7 +153,3 @@ def expiry_candidates(dim: DataFrame, spec: DimSpec, as_of: dt.date) -> DataFram
 
 def empty_dim(spark, spec: DimSpec) -> DataFrame:
     return spark.createDataFrame([], spec.schema)
-
-
-def open_versions(dim: DataFrame) -> Column:
-    return F.col("expy_date") == F.lit(OPEN_END)

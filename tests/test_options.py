@@ -72,3 +72,21 @@ def test_files_with_different_headers_fail(spark):
     assert len(ok) == 2
     with pytest.raises(Exception, match="(?i)header|schema"):
         read_pipe_file(spark, [f"{root}/a", f"{root}/b"]).collect()
+
+
+def test_command_line_load_and_resume(spark, capsys):
+    import json
+
+    from flightmart.__main__ import main
+    from flightmart.sources.feed import batch_feed
+    from flightmart.sources.pipe_file import write_pipe_file
+
+    root = scratch_path(spark, "t-cli")
+    write_pipe_file(batch_feed(spark, "/root/testdata/sf0.001", 0), f"{root}/raw")
+    main(["check", "--raw", f"{root}/raw"])
+    assert set(json.loads(capsys.readouterr().out.strip().splitlines()[-1]).values()) == {0}
+    args = ["load", "--store", f"{root}/wh", "--raw", f"{root}/raw", "--as-of", "2024-01-01", "--load-id", "r1"]
+    main(args)
+    first = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    main(args)  # same load id: nothing is published again
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == first
