@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightmart.functions import as_of_between, content_hash
@@ -131,22 +131,34 @@ def scd2_step(prev: DataFrame, stage: DataFrame, spec: DimSpec, as_of: dt.date,
     return expire(merged, spec, as_of, offset_days, pairs=pairs)
 
 
-# --- the warehouse's own window formulation (W1, W2), exposed for inspection ---
+# --- the warehouse's window quantities (W1 count per key, W2 rank 1 by efft) ---
+#
+# ``count(*) over (partition by key)`` and ``rank() over (... order by efft)``
+# would put every current row of a key into one task, and the NULL key group
+# (inserted again by every load) only grows. The same values come from a
+# per-key aggregate (partial, map-side) joined back on the key with NULL-safe
+# equality, a join AQE can split when one key is hot.
+
+
+def _per_key(dim: DataFrame, spec: DimSpec, as_of: dt.date) -> DataFrame:
+    cur = current_as_of(dim, as_of)
+    stats = cur.groupBy(*spec.keys).agg(
+        F.count(F.lit(1)).cast("int").alias("cnt"), F.min("efft_date").alias("_min_efft"))
+    c, s = cur.alias("c"), stats.alias("s")
+    cond = [F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}")) for k in spec.keys]
+    return c.join(s, on=cond).select("c.*", "s.cnt", "s._min_efft")
 
 
 def version_counts(dim: DataFrame, spec: DimSpec, as_of: dt.date) -> DataFrame:
-    """``count(*) over (partition by key)`` over the current versions."""
-    w = Window.partitionBy(*spec.keys)
-    return current_as_of(dim, as_of).withColumn("cnt", F.count(F.lit(1)).over(w).cast("int"))
+    """Current versions, each with the number of current versions of its key (W1)."""
+    return _per_key(dim, spec, as_of).drop("_min_efft")
 
 
 def expiry_candidates(dim: DataFrame, spec: DimSpec, as_of: dt.date) -> DataFrame:
     """Current versions of keys with cnt > 1 that rank first by efft_date (ties share rank 1)."""
-    w = Window.partitionBy(*spec.keys).orderBy("efft_date")
     return (
-        version_counts(dim, spec, as_of).where(F.col("cnt") > 1)
-        .withColumn("efft_rank", F.rank().over(w).cast("int"))
-        .where(F.col("efft_rank") == 1)
+        _per_key(dim, spec, as_of)
+        .where((F.col("cnt") > 1) & (F.col("efft_date") == F.col("_min_efft")))
         .select(*spec.keys, "efft_date")
     )
 

@@ -152,3 +152,27 @@ def test_random_histories_match_brute_force(spark):
             got = run(spark, spec, loads)
             assert public(spec, got) == public(spec, model(spec, loads)), loads
             assert len({r[spec.skey] for r in got}) == len(got)
+
+
+def test_window_quantities_group_null_keys_like_partition_by(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    rows = [
+        (1, None, "a", "c", "Y", D1, OPEN_END), (2, None, "b", "c", "Y", D2, OPEN_END),
+        (3, None, "c", "c", "Y", D2, OPEN_END), (4, "X", "a", "c", "Y", D1, OPEN_END),
+        (5, "X", "b", "c", "Y", D2, OPEN_END), (6, "Y", "a", "c", "Y", D1, OPEN_END),
+        (7, "X", "z", "c", "N", D1, D1),  # not current on D3
+    ]
+    dim = spark.createDataFrame(rows, AIRPORT.schema)
+    cur = dim.where(F.lit(D3).between(F.col("efft_date"), F.col("expy_date")))
+    w = Window.partitionBy("airportcode")
+    want_counts = Counter(
+        (r.airport_skey, r.cnt) for r in cur.withColumn("cnt", F.count(F.lit(1)).over(w)).collect())
+    got_counts = Counter((r.airport_skey, r.cnt) for r in scd2.version_counts(dim, AIRPORT, D3).collect())
+    assert got_counts == want_counts
+    ranked = cur.withColumn("cnt", F.count(F.lit(1)).over(w)).where("cnt > 1") \
+        .withColumn("rk", F.rank().over(w.orderBy("efft_date"))).where("rk = 1")
+    want = Counter((r.airportcode, r.efft_date) for r in ranked.collect())
+    got = Counter((r.airportcode, r.efft_date) for r in scd2.expiry_candidates(dim, AIRPORT, D3).collect())
+    assert got == want and (None, D1) in got
