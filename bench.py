@@ -13,7 +13,7 @@ load starts from. Then each job runs as the warehouse runs it:
 - two_batch_load: two complete daily loads from the raw files into a fresh
   table store, then the view.
 
-One warm-up pass, then the median of $BENCH_REPEATS (default 1) runs per job.
+One warm-up pass, then the median of $BENCH_REPEATS (default 3) runs per job.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ sys.path.insert(0, HERE)
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
 
     from pyspark.sql import functions as F
 
