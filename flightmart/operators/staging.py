@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightmart.schemas import STG_AIR_ROUTE, STG_AIRPLANE, STG_AIRPORT
+from flightmart.schemas import STG_AIR_ROUTE, STG_AIRPLANE
 
 
 def stage_airplane(flights: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
