@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from flightmart.llm import near_dedup
+import public_tokenizers
+
+from flightmart.llm import bpe, near_dedup, packing
 from flightmart.llm.common import table
 
 
@@ -10,8 +12,18 @@ def op3_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_bpe(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op3_near_dedup": op3_near_dedup,
+    "op5_packing": op5_packing,
+    "op8_bpe": op8_bpe,
 }
 
 ORACLES: dict[str, str] = {}
