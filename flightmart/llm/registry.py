@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from flightmart.llm import bpe, near_dedup, packing
+from flightmart.llm import bpe, near_dedup, packing, suffix_dedup
 from flightmart.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op5_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.cut_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -23,6 +27,7 @@ def op8_bpe(spark, sf_dir):
 QUERIES = {
     "op3_near_dedup": op3_near_dedup,
     "op5_packing": op5_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op8_bpe": op8_bpe,
 }
 
