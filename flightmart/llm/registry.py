@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from flightmart.llm import bpe, near_dedup, packing, suffix_dedup
+from flightmart.llm import bpe, language, near_dedup, packing, suffix_dedup
 from flightmart.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op6_suffix_dedup(spark, sf_dir):
     return suffix_dedup.cut_texts(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark, sf_dir):
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -28,6 +32,7 @@ QUERIES = {
     "op3_near_dedup": op3_near_dedup,
     "op5_packing": op5_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_language": op7_language,
     "op8_bpe": op8_bpe,
 }
 
