@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from flightmart.llm import bpe, language, near_dedup, packing, suffix_dedup
+from flightmart.llm import bpe, language, near_dedup, packing, suffix_dedup, toxicity
 from flightmart.llm.common import table
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,7 @@ def op8_bpe(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_near_dedup": op3_near_dedup,
     "op5_packing": op5_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
