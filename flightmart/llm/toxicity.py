@@ -45,7 +45,7 @@ SPAN = 8
 DECAY = 0.7
 WINDOW = 24
 ROUNDS = 3
-SLACK = 4.0  # how far below the median document's best word a first witness may lie, in log odds
+SLACK = 2.5  # how far below the median document's best word a first witness may lie, in log odds
 CACHE = 300_000
 
 LETTERS = 40  # a-z, 0-9 as one, 12 classes of other code points, padding
