@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from flightmart.llm import bpe, language, near_dedup, packing, suffix_dedup, toxicity
+from flightmart.llm import bpe, language, near_dedup, packing, suffix_dedup, toxicity, winnowing
 from flightmart.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_winnowing(spark, sf_dir):
+    return winnowing.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op8_bpe(spark, sf_dir):
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_winnowing": op2_winnowing,
     "op3_near_dedup": op3_near_dedup,
     "op5_packing": op5_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
