@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from flightmart.llm import bpe, language, near_dedup, packing, suffix_dedup, toxicity, winnowing
+from flightmart.llm import bpe, language, near_dedup, packing, quality, secrets, suffix_dedup, toxicity, winnowing
 from flightmart.llm.common import table
 
 
@@ -36,6 +36,14 @@ def op8_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_quality(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
+def op10_secrets(spark, sf_dir):
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_winnowing": op2_winnowing,
@@ -44,6 +52,10 @@ QUERIES = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language": op7_language,
     "op8_bpe": op8_bpe,
+    "op9_quality": op9_quality,
+    "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op9_quality": quality.ORACLE,
+}
