@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from flightmart.llm import bpe, language, near_dedup, packing, quality, secrets, suffix_dedup, toxicity, winnowing
+from flightmart.llm import bpe, html, language, near_dedup, packing, quality, secrets, suffix_dedup, toxicity, winnowing
 from flightmart.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_html(spark, sf_dir):
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_winnowing": op2_winnowing,
     "op3_near_dedup": op3_near_dedup,
+    "op4_html": op4_html,
     "op5_packing": op5_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language": op7_language,

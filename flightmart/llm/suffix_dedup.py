@@ -448,43 +448,75 @@ def _partitions(docs: DataFrame) -> int:
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
 
 
-def cut_texts(docs: DataFrame, keep_text: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row, with ``kept`` bytes if asked for."""
-    rows = text_rows(docs).withColumn("key", F.coalesce("doc_id", F.lit(NULL_ID)))
-    keyed = rows.select(F.col("key").alias("doc_id"), "text")
-    runs = removed_starts(keyed).select("doc_id", (F.col("first") * 128 + F.col("count")).alias("run"))
-    runs = runs.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (
-        ", kept string" if keep_text else "")
+def _runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, runs``: the removed starts of every cut document, as start * 128 + count."""
+    runs = removed_starts(docs).select("doc_id", (F.col("first") * 128 + F.col("count")).alias("run"))
+    return runs.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
+
+
+def _cut(text: bytes, packed: pa.Scalar) -> tuple[bytes, int, int]:
+    """What is left of a text, the bytes removed and the spans they form."""
+    if not packed.is_valid:
+        return text, 0, 0
+    runs = np.sort(packed.values.to_numpy())
+    lo = runs >> 7
+    hi = np.minimum(lo + (runs & 127) + LENGTH - 1, len(text))
+    reach = np.maximum.accumulate(hi)
+    new = np.ones(len(lo), bool)
+    new[1:] = lo[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    begin, end = lo[at], reach[np.append(at[1:], len(lo)) - 1]
+    live = end > begin
+    begin, end = begin[live], end[live]
+    edges = [0, *np.stack([begin, end], 1).ravel().tolist(), len(text)]
+    left = b"".join([text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
+    return left, len(text) - len(left), len(begin)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    rows = text_rows(docs)
+    return rows.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
+
+
+def cut_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row."""
+    keyed = _keyed(docs)
 
     def run(batch: pa.RecordBatch) -> dict:
         data, offsets = utf8(batch.column("text"))
         raw = data.tobytes()
-        n_removed, n_spans, sha, kept = [], [], [], []
-        for i, packed in enumerate(batch.column("runs")):
-            text = raw[offsets[i]:offsets[i + 1]]
-            removed, spans = 0, 0
-            if packed.is_valid:
-                runs = np.sort(packed.values.to_numpy())
-                lo = runs >> 7
-                hi = np.minimum(lo + (runs & 127) + LENGTH - 1, len(text))
-                reach = np.maximum.accumulate(hi)
-                new = np.ones(len(lo), bool)
-                new[1:] = lo[1:] > reach[:-1]
-                at = np.flatnonzero(new)
-                begin, end = lo[at], reach[np.append(at[1:], len(lo)) - 1]
-                live = end > begin
-                begin, end = begin[live], end[live]
-                removed, spans = int((end - begin).sum()), len(begin)
-                edges = [0, *np.stack([begin, end], 1).ravel().tolist(), len(text)]
-                text = b"".join([text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
-            n_removed.append(removed)
-            n_spans.append(spans)
-            sha.append(hashlib.sha256(text).hexdigest())
-            if keep_text:
-                kept.append(text.decode("utf-8", "ignore"))
-        return {"doc_id": batch.column("doc_id"), "n_bytes": np.diff(offsets), "n_removed": n_removed,
-                "n_spans": n_spans, "kept_sha256": sha, "kept": kept}
-
-    out = map_batches(keyed.join(runs, "doc_id", "left"), run, schema)
+        cuts = [_cut(raw[offsets[i]:offsets[i + 1]], packed) for i, packed in enumerate(batch.column("runs"))]
+        return {"doc_id": batch.column("doc_id"), "n_bytes": np.diff(offsets), "n_removed": [c[1] for c in cuts],
+                "n_spans": [c[2] for c in cuts], "kept_sha256": [hashlib.sha256(c[0]).hexdigest() for c in cuts]}
+
+    out = map_batches(keyed.join(_runs(keyed), "doc_id", "left"), run,
+                      "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the removed bytes cut from ``text`` and ``n_chars`` set anew.
+
+    A cut may fall inside a code point of several bytes; bytes that no longer
+    form one are dropped with it.
+    """
+    runs = _runs(_keyed(docs)).withColumnRenamed("doc_id", "_key")
+    rows = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    rows = rows.join(runs, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("_key"), "left").drop("_key")
+    schema = docs.schema
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data, offsets = utf8(batch.column("text"))
+            raw = data.tobytes()
+            texts = [_cut(raw[offsets[i]:offsets[i + 1]], packed)[0].decode("utf-8", "ignore")
+                     for i, packed in enumerate(batch.column("runs"))]
+            columns = {n: batch.column(n) for n in schema.fieldNames()}
+            columns["text"] = pa.array(texts, columns["text"].type)
+            if "n_chars" in columns:
+                columns["n_chars"] = pa.array([len(t) for t in texts], columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return rows.select(*schema.fieldNames(), "runs").mapInArrow(run, schema)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flightmart.llm.common import map_batches, text_rows
+from flightmart.llm.common import map_batches, prepare, text_rows
 
 PER_CLASS = {1: 1200, 0: 2400}
 LANDMARKS = 128
@@ -313,3 +313,20 @@ def scored(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> Da
 
     rows = text_rows(docs).withColumn("held_out", held_out())
     return map_batches(rows, run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def kept(docs: DataFrame, training_docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` predicted clean, all columns as they are."""
+    model = fitted(training_docs, labels)
+    if model is None:
+        return docs
+    prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                score = shared.value.score([t or "" for t in batch.column("text").to_pylist()])
+                yield batch.filter(pa.array(score < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
