@@ -16,6 +16,7 @@ import json
 from pyspark.sql import SparkSession
 
 from flightmart.operators.cleaning import batch_violations
+from flightmart.operators.keys import DEFAULT_BUCKETS
 from flightmart.plans.daily_load import LoadOptions, daily_load
 from flightmart.schemas import TAILNUM_SENTINELS
 from flightmart.session import RECOMMENDED_CONF
@@ -48,6 +49,7 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--valid-only-lookups", action="store_true")
     load.add_argument("--fixed-next-day", action="store_true")
     load.add_argument("--replace-fact-partition", action="store_true")
+    load.add_argument("--key-buckets", type=int, default=DEFAULT_BUCKETS, help="tasks that number new keys")
     check = sub.add_parser("check", help="count rows breaking each batch-rejection rule")
     check.add_argument("--raw", required=True, nargs="+")
     a = p.parse_args(argv)
@@ -60,7 +62,7 @@ def main(argv: list[str] | None = None) -> None:
         tailnum_sentinels=TAILNUM_SENTINELS + tuple(a.extra_sentinel),
         hash_style=a.hash_style, expire_offset_days=a.expire_offset_days,
         valid_only_lookups=a.valid_only_lookups, fixed_next_day=a.fixed_next_day,
-        replace_fact_partition=a.replace_fact_partition,
+        replace_fact_partition=a.replace_fact_partition, key_buckets=a.key_buckets,
     )
     store = TableStore(spark, a.store)
     daily_load(spark, store, a.raw, a.as_of, opts, load_id=a.load_id)

@@ -1,7 +1,7 @@
 """Scalar column expressions (all JVM-side, codegen-friendly)."""
 
 from flightmart.functions.text import (
-    na_to_null, py_lstrip, part_before, part_after_first, first_word, pg_bool, pg_bool_or_null,
+    na_to_null, py_lstrip, part_before, part_after_first, first_word, pg_bool_or_null,
 )
 from flightmart.functions.clock import clock_to_int
 from flightmart.functions.measures import (

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 def clock_to_int(c: Column) -> Column:
     """``text::numeric::integer``: parse as a number, round half away from zero.
 
-    A plain decimal -> int cast truncates in Spark, so round first. Text that is
+    A plain decimal -> int cast truncates in Spark, so round first; the scale is wide enough
+    that the cast to decimal doesn't round before. Text that is
     not a number gives NULL (a flight with an unreadable clock is never a
     next-day arrival) instead of failing the whole load.
     """
-    return F.round(c.try_cast("decimal(18,4)")).try_cast("int")
+    return F.round(c.try_cast("decimal(38,18)")).try_cast("int")

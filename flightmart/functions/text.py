@@ -65,8 +65,3 @@ def pg_bool_or_null(c: Column) -> Column:
     """
     return F.try_element_at(_bool_words(), F.lower(F.trim(c)))
 
-
-def pg_bool(c: Column, column_name: str) -> Column:
-    """As :func:`pg_bool_or_null`, but unknown text fails the batch."""
-    bad = F.when(c.isNotNull(), F.raise_error(F.concat(F.lit(f"invalid boolean in {column_name}: "), c)))
-    return F.coalesce(pg_bool_or_null(c), bad.cast("boolean"))

@@ -88,20 +88,30 @@ def _kept(sentinels: tuple[str, ...]) -> Column:
 
 
 def _bad_bool(c: str) -> Column:
-    # No NA token parses as a boolean, so a NULL parse of present text is bad.
-    return ~_missing(c) & pg_bool_or_null(F.col(c)).isNull()
+    # No NA token parses as a boolean, so a NULL parse is missing or bad text;
+    # the source writes missing flags as empty text, which its boolean column refuses.
+    return pg_bool_or_null(F.col(c)).isNull()
+
+
+def _depdelay() -> Column:
+    return F.col("depdelay").try_cast("double").try_cast("int")
+
+
+def _distance() -> Column:
+    return first_word(F.col("distance")).try_cast("int")
 
 
 # Rules that reject the whole batch when a kept row breaks them. No NA token
 # contains ':', so the ':' rules need no NA handling either.
 _BATCH_RULES = (
-    (lambda: _missing("depdelay"), "missing DEPDELAY"),
+    (lambda: _missing("flightdate"), "missing FLIGHTDATE"),
+    (lambda: _depdelay().isNull(), "missing or non-numeric DEPDELAY"),
     (lambda: _missing("airlinename"), "missing AIRLINENAME"),
     (lambda: F.instr(F.col("origairportname"), ":") == 0, "no ':' in ORIGAIRPORTNAME"),
     (lambda: F.instr(F.col("destairportname"), ":") == 0, "no ':' in DESTAIRPORTNAME"),
-    (lambda: _missing("distance"), "missing DISTANCE"),
-    (lambda: _bad_bool("cancelled"), "invalid CANCELLED"),
-    (lambda: _bad_bool("diverted"), "invalid DIVERTED"),
+    (lambda: _distance().isNull(), "missing or non-numeric DISTANCE"),
+    (lambda: _bad_bool("cancelled"), "missing or invalid CANCELLED"),
+    (lambda: _bad_bool("diverted"), "missing or invalid DIVERTED"),
 )
 
 
@@ -147,17 +157,17 @@ def clean_flights(raw: DataFrame, sentinels: tuple[str, ...] = TAILNUM_SENTINELS
     a token could change the outcome, so each raw value is tested against the
     NA set about once; duplicating that test into every rule made the fused
     stage too large for the JIT. Rows that reach the projection have passed the
-    rules, so the typed columns parse the raw text directly (a non-numeric
-    DEPDELAY / DISTANCE fails the ANSI cast).
+    rules, so the typed columns parse the raw text directly. All parsing uses
+    try_cast, so the session's ANSI setting changes nothing.
     """
     df = with_raw_columns(raw)
     typed = {
         "flightdate": F.try_to_date(F.col("flightdate"), DATE_MASK),
-        "depdelay": F.col("depdelay").cast("double").cast("int"),
+        "depdelay": _depdelay(),
         "airlinename": part_before(F.col("airlinename"), ":"),
         "origairportname": py_lstrip(part_after_first(F.col("origairportname"), ":")),
         "destairportname": py_lstrip(part_after_first(F.col("destairportname"), ":")),
-        "distance": first_word(F.col("distance")).cast("int"),
+        "distance": _distance(),
         "cancelled": pg_bool_or_null(F.col("cancelled")),
         "diverted": pg_bool_or_null(F.col("diverted")),
     }

@@ -18,28 +18,25 @@ DEFAULT_BUCKETS = 256
 
 
 def bucket_of(cols: list[str], buckets: int = DEFAULT_BUCKETS) -> Column:
-    """Stable bucket: first 16 bits of md5 over the row's text, modulo ``buckets``."""
+    """Stable bucket: first 32 bits of md5 over the row's text, modulo ``buckets``."""
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
-    return F.pmod(F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int"), F.lit(buckets))
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(buckets).cast("long"))
 
 
 def assign_keys(rows: DataFrame, key_col: str, start_after: Column | int,
                 order_cols: list[str] | None = None, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add ``key_col`` = start_after + 1 .. start_after + n over the (distinct) rows.
 
-    One shuffle by bucket numbers the rows and counts each bucket in the same
-    window stage; the per-bucket counts are read back from that stage (the
-    exchange is reused, the input is not recomputed), turned into offsets and
-    broadcast (at most ``buckets`` rows).
+    ``rows`` is read twice, for the per-bucket counts and for the numbering: pass a written
+    table. The counts are partial aggregates (at most ``buckets`` rows a task), turned into
+    offsets and broadcast (at most ``buckets`` rows in all); the numbering takes one exchange
+    by bucket.
     """
     order_cols = order_cols or rows.columns
     b = rows.withColumn("_kb", bucket_of(order_cols, buckets))
-    by_bucket = Window.partitionBy("_kb")
-    numbered = b.withColumns({
-        "_rn": F.row_number().over(by_bucket.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])),
-        "_n": F.count(F.lit(1)).over(by_bucket),
-    })
-    counts = numbered.where(F.col("_rn") == 1).select("_kb", "_n")
+    numbered = b.withColumn("_rn", F.row_number().over(
+        Window.partitionBy("_kb").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])))
+    counts = b.groupBy("_kb").agg(F.count(F.lit(1)).alias("_n"))
     # At most `buckets` rows: the running total runs in one small task.
     offsets = counts.select(
         "_kb",
@@ -50,7 +47,7 @@ def assign_keys(rows: DataFrame, key_col: str, start_after: Column | int,
     return (
         numbered.join(F.broadcast(offsets), "_kb")
         .withColumn(key_col, (base + F.col("_off") + F.col("_rn")).cast("int"))
-        .drop("_kb", "_off", "_rn", "_n")
+        .drop("_kb", "_off", "_rn")
     )
 
 

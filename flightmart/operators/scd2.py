@@ -12,11 +12,10 @@ Semantics of a load on date ``as_of`` (the warehouse's, kept exactly):
    ``expy = as_of - offset`` and flag 'N'. Ties expire together; keys with a
    NULL part never match and are never expired.
 
-Step 3 is the warehouse's ``UPDATE ... FROM (rank()=1 over count>1)``: here an
-aggregate over current rows yields the (key, efft) pairs to close and a left
-join applies them. Only partial aggregates cross the shuffle, the closed
-history is only scanned, and when the pair set is small AQE broadcasts it
-(runtime size check), so the big side is not shuffled at all.
+A load writes three small tables before the last step: the unkeyed inserts, the keyed
+inserts and the (key, efft) pairs to close. The anti and the semi join run once, and the
+planner knows the pairs' size when it plans the last step: the closed history is scanned, joined with the broadcast
+pairs and not shuffled. If the pairs are too many to broadcast, it is a shuffled join.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ from pyspark.sql import functions as F
 from flightmart.functions import as_of_between, content_hash
 from flightmart.operators.keys import DEFAULT_BUCKETS, assign_keys, max_key
 from flightmart.schemas import CURRENT_FLAG_CLOSED, CURRENT_FLAG_OPEN, OPEN_END, DimSpec
+from flightmart.session import materialize
 
 
 def current_as_of(dim: DataFrame, as_of: dt.date) -> DataFrame:
@@ -57,23 +57,27 @@ def changed_rows(stage: DataFrame, dim: DataFrame, spec: DimSpec, as_of: dt.date
     return s.join(c, on=cond, how="left_semi").drop("_content")
 
 
+def unkeyed_inserts(stage: DataFrame, dim: DataFrame, spec: DimSpec, as_of: dt.date,
+                    hash_style: str | None = None) -> DataFrame:
+    """New and changed stage rows. The two parts are disjoint (a key either has a current
+    version or not) and the stage is distinct, so no UNION-distinct pass is needed."""
+    cols = list(spec.stage_columns)
+    return new_rows(stage, dim, spec, as_of).select(*cols).unionByName(
+        changed_rows(stage, dim, spec, as_of, hash_style).select(*cols))
+
+
 def inserts(stage: DataFrame, dim: DataFrame, spec: DimSpec, as_of: dt.date,
             hash_style: str | None = None, key_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """New and changed stage rows as dimension rows with fresh surrogate keys.
-
-    The two parts are disjoint (a key either has a current version or not) and
-    the stage is distinct, so no UNION-distinct pass is needed.
-    """
+    """New and changed stage rows as dimension rows with fresh surrogate keys (a written table)."""
     cols = list(spec.stage_columns)
-    fresh = new_rows(stage, dim, spec, as_of).select(*cols).unionByName(
-        changed_rows(stage, dim, spec, as_of, hash_style).select(*cols))
+    fresh = materialize(unkeyed_inserts(stage, dim, spec, as_of, hash_style), f"fresh-{spec.name}")
     keyed = assign_keys(fresh, spec.skey, max_key(dim, spec.skey), order_cols=cols, buckets=key_buckets)
-    return keyed.select(
+    return materialize(keyed.select(
         spec.skey, *cols,
         F.lit(CURRENT_FLAG_OPEN).alias("current_flag"),
         F.lit(as_of).alias("efft_date"),
         F.lit(OPEN_END).alias("expy_date"),
-    )
+    ), f"inserts-{spec.name}")
 
 
 def expiry_pairs(dim: DataFrame, spec: DimSpec, as_of: dt.date) -> DataFrame:
@@ -88,11 +92,11 @@ def expiry_pairs(dim: DataFrame, spec: DimSpec, as_of: dt.date) -> DataFrame:
     )
 
 
-def expire(dim: DataFrame, spec: DimSpec, as_of: dt.date, offset_days: int | None = None,
-           pairs: DataFrame | None = None) -> DataFrame:
+def expire(dim: DataFrame, spec: DimSpec, as_of: dt.date, pairs: DataFrame,
+           offset_days: int | None = None) -> DataFrame:
     """Close the versions picked by :func:`expiry_pairs` (equality match on key and efft_date)."""
     offset = spec.expire_offset_days if offset_days is None else offset_days
-    pairs = (expiry_pairs(dim, spec, as_of) if pairs is None else pairs).withColumn("_hit", F.lit(True))
+    pairs = pairs.withColumn("_hit", F.lit(True))
     on = list(spec.keys) + ["efft_date"]
     joined = dim.join(pairs, on=on, how="left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
@@ -111,24 +115,13 @@ def scd2_step(prev: DataFrame, stage: DataFrame, spec: DimSpec, as_of: dt.date,
               key_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One load: insert new/changed versions, then expire superseded ones.
 
-    ``stage`` is read by several branches (anti join, semi join, key
-    assignment, expiry pairs); pass the written stage table (as the daily load
-    does), not a lazy aggregate over the flights, or each branch recomputes it.
+    ``stage`` is read by the anti and the semi join; pass the written stage table (as the
+    daily load does), not a lazy aggregate over the flights.
     """
     prev = prev.select(*spec.schema.fieldNames())
-    ins = inserts(stage, prev, spec, as_of, hash_style, key_buckets)
-    merged = prev.unionByName(ins)
-    # Every inserted row is current, so the current set is the previous
-    # current rows plus the inserts; both branches read the same keyed
-    # inserts, whose shuffle is then computed once and reused.
-    cur = current_as_of(prev, as_of).select(*spec.keys, "efft_date") \
-        .unionByName(ins.select(*spec.keys, "efft_date"))
-    pairs = (
-        cur.groupBy(*spec.keys)
-        .agg(F.count(F.lit(1)).alias("_cnt"), F.min("efft_date").alias("efft_date"))
-        .where(F.col("_cnt") > 1).drop("_cnt")
-    )
-    return expire(merged, spec, as_of, offset_days, pairs=pairs)
+    merged = prev.unionByName(inserts(stage, prev, spec, as_of, hash_style, key_buckets))
+    pairs = materialize(expiry_pairs(merged, spec, as_of), f"pairs-{spec.name}")
+    return expire(merged, spec, as_of, pairs, offset_days)
 
 
 # --- the warehouse's window quantities (W1 count per key, W2 rank 1 by efft) ---

@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightmart.functions import clock_to_int
@@ -48,7 +48,11 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned flights of both batches (``batch`` passes through), lineage cut."""
-    return materialize(cleaning.clean_flights(_raw(spark, sf_dir)).select(*FEED_COLUMNS), "clean")
+    clean = cleaning.clean_flights(_raw(spark, sf_dir)).select(*FEED_COLUMNS)
+    # a folder per batch, so a load scans its own batch only
+    path = scratch_path(spark, "clean")
+    clean.write.partitionBy("batch").parquet(path)
+    return spark.read.schema(clean.schema).parquet(path)
 
 
 def _batch(clean: DataFrame, b: int) -> DataFrame:
@@ -194,33 +198,56 @@ def _changed_query(spec):
     return q
 
 
-def _merged_second_load(spark, sf_dir, spec):
+def _all_dims(spark, sf_dir, fn, loads: int = 2) -> DataFrame:
+    """``fn(dimension, spec)`` of all three dimensions, after ``loads`` loads, in one table."""
+    clean = _clean(spark, sf_dir)
+    hist = _histories(spark, clean, loads)
+    parts = [fn(clean, hist[name], spec) for name, spec in DIMS.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _text(cols) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols])
+
+
+def _described(df: DataFrame, spec, *extra: str) -> DataFrame:
+    """``dim``, natural key and attributes as text, and ``extra`` columns."""
+    return df.select(F.lit(spec.name).alias("dim"), _text(spec.keys).alias("natural_key"),
+                     _text(spec.attrs).alias("attributes"), *extra)
+
+
+def _merged_second_load(clean, history, spec):
     """Dimension after the second load's insert, before its expiry step."""
-    _, dim1, stage2 = _second_load_inputs(spark, sf_dir, spec)
-    return dim1.unionByName(scd2.inserts(stage2, dim1, spec, SECOND[0]))
+    stage2 = materialize(staging.STAGERS[spec.name](_batch(clean, SECOND[1])), f"stg-{spec.name}")
+    return history[0].unionByName(scd2.inserts(stage2, history[0], spec, SECOND[0]))
 
 
 def q_version_counts(spark, sf_dir):
-    m = _merged_second_load(spark, sf_dir, AIR_ROUTE)
-    return scd2.version_counts(m, AIR_ROUTE, SECOND[0]).select(*_public(AIR_ROUTE), "cnt")
+    def counts(clean, history, spec):
+        m = _merged_second_load(clean, history, spec)
+        return _described(scd2.version_counts(m, spec, SECOND[0]), spec, "current_flag", "efft_date", "expy_date", "cnt")
+    return _all_dims(spark, sf_dir, counts, 1)
 
 
 def q_expiry_candidates(spark, sf_dir):
-    m = _merged_second_load(spark, sf_dir, AIR_ROUTE)
-    return scd2.expiry_candidates(m, AIR_ROUTE, SECOND[0])
+    def candidates(clean, history, spec):
+        m = scd2.expiry_candidates(_merged_second_load(clean, history, spec), spec, SECOND[0])
+        return m.select(F.lit(spec.name).alias("dim"), _text(spec.keys).alias("natural_key"), "efft_date")
+    return _all_dims(spark, sf_dir, candidates, 1)
 
 
 def q_surrogate_keys(spark, sf_dir):
-    """Keys issued to airplane versions over the first two loads."""
-    clean = _clean(spark, sf_dir)
-    dim2 = _dim_history(spark, clean, AIRPLANE, LOADS[:2])[-1]
-    return dim2.select("airplane_skey", "tailnum", "airlinecode", "airlinename", "efft_date")
+    """Keys issued to the versions of all dimensions over the first two loads."""
+    return _all_dims(spark, sf_dir, lambda clean, history, spec: _described(
+        history[-1].withColumn("skey", F.col(spec.skey)), spec, "skey", "efft_date"))
 
 
 def q_current_as_of(spark, sf_dir):
-    clean = _clean(spark, sf_dir)
-    dim2 = _dim_history(spark, clean, AIR_ROUTE, LOADS[:2])[-1]
-    return scd2.current_as_of(dim2, SECOND[0]).select(*_public(AIR_ROUTE))
+    return _all_dims(spark, sf_dir, lambda clean, history, spec: _described(
+        scd2.current_as_of(history[-1], SECOND[0]), spec, "current_flag", "efft_date", "expy_date"))
 
 
 def _scd2_query(spec):
@@ -250,24 +277,26 @@ def _two_loads(spark, sf_dir):
     return clean, {k: v[-1] for k, v in hist.items()}, facts[0].unionByName(facts[1])
 
 
-def q_fact_route_lookup(spark, sf_dir):
+def _lookup(spark, sf_dir, spec, lookup, names: dict[str, str], keys) -> DataFrame:
+    """The lookup of both loads, each against the dimension after it."""
     clean = _clean(spark, sf_dir)
-    dim2 = _dim_history(spark, clean, AIR_ROUTE, LOADS[:2])[-1]
-    extra = ("route_crsdeptime", "route_crsarrtime", "route_efft_date")
-    r = dim2.withColumnsRenamed(
-        {"crsdeptime": extra[0], "crsarrtime": extra[1], "efft_date": extra[2]})
-    flights = _batch(clean, SECOND[1]).select("transactionid", *AIR_ROUTE.keys)
-    return fact.route_lookup(flights, r, extra=extra).select("transactionid", *extra)
+    out = None
+    for i, dim in enumerate(_dim_history(spark, clean, spec, LOADS[:2])):
+        flights = _batch(clean, LOADS[i][1]).select("transactionid", *keys)
+        part = lookup(flights, dim.withColumnsRenamed(names), extra=tuple(names.values()))
+        part = part.select(F.lit(i + 1).alias("load_no"), "transactionid", *names.values())
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_fact_route_lookup(spark, sf_dir):
+    names = {"crsdeptime": "route_crsdeptime", "crsarrtime": "route_crsarrtime", "efft_date": "route_efft_date"}
+    return _lookup(spark, sf_dir, AIR_ROUTE, fact.route_lookup, names, AIR_ROUTE.keys)
 
 
 def q_fact_airplane_lookup(spark, sf_dir):
-    clean = _clean(spark, sf_dir)
-    dim2 = _dim_history(spark, clean, AIRPLANE, LOADS[:2])[-1]
-    extra = ("airplane_airlinecode", "airplane_airlinename", "airplane_efft_date")
-    a = dim2.withColumnsRenamed(
-        {"airlinecode": extra[0], "airlinename": extra[1], "efft_date": extra[2]})
-    flights = _batch(clean, SECOND[1]).select("transactionid", "tailnum")
-    return fact.airplane_lookup(flights, a, extra=extra).select("transactionid", *extra)
+    names = {"airlinecode": "airplane_airlinecode", "airlinename": "airplane_airlinename", "efft_date": "airplane_efft_date"}
+    return _lookup(spark, sf_dir, AIRPLANE, fact.airplane_lookup, names, AIRPLANE.keys)
 
 
 def q_fact_flights(spark, sf_dir):

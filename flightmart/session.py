@@ -47,12 +47,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide checkpoint folder; a local temp folder only when unset (tests)."""
+    """The cluster-wide checkpoint folder. Unset, it is a temp folder in local mode (tests) and
+    an error on a cluster, where each machine would write to a disk of its own."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="flightmart-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir()

@@ -66,7 +66,8 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     name = lambda k: (
-        f"concat('City',cast({k} as string),', S',cast({k}%10 as string),':  Field ',cast({k} as string),"
+        f"concat('City',cast({k} as string),', S',cast({k}%10 as string),':',"
+        f"case when {k}%10=1 then chr(9) else '  ' end,'Field ',cast({k} as string),"
         f"case when b2=1 and {k}%10=0 then ' Intl' else '' end)"
     )
     return j.selectExpr(
@@ -76,17 +77,19 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(ymd as string) as flightdate",
         "concat('C',cast(al as string)) as airlinecode",
         "concat('Airline ',cast(al as string),': C',cast(al as string)) as airlinename",
-        "case when l_suppkey%17=3 then null when l_suppkey%17=4 then 'UNKNOWN' when l_suppkey%17=5 then 'NKNO'"
+        "case when l_suppkey%17=3 then null when l_suppkey%17=4 and l_linenumber%2=0 then 'UNKNOW'"
+        " when l_suppkey%17=4 then 'UNKNOWN' when l_suppkey%17=5 then 'NKNO'"
         " when l_suppkey%17=6 then '#NAME?' else concat('N',cast(l_suppkey as string)) end as tailnum",
-        "cast(fn as string) as flightnum",
+        "case when fn=49 and l_linenumber=7 then null else cast(fn as string) end as flightnum",
         "concat('AP',cast(ok as string)) as originairportcode",
         f"{name('ok')} as origairportname",
-        "concat('City',cast(ok as string)) as origincityname",
-        "concat('AP',cast(dk as string)) as destairportcode",
+        "case when l_partkey%29=0 then 'NA' else concat('City',cast(ok as string)) end as origincityname",
+        "concat('AP',cast(dk as string),case when b2=1 and dk=24 then 'X' else '' end) as destairportcode",
         f"{name('dk')} as destairportname",
-        "concat('City',cast(dk as string)) as destcityname",
+        "case when l_partkey%37=1 then 'N/A' else concat('City',cast(dk as string)) end as destcityname",
         f"{_clock('crs')} as crsdeptime",
-        f"concat({_clock('dep')}, case when l_linenumber%2=0 then '.0' else '' end) as deptime",
+        f"case when l_linenumber=7 and l_partkey%3=0 then 'NaN' else concat({_clock('dep')},"
+        " case when l_linenumber%2=0 then '.0' when l_linenumber=5 then '.5' else '' end) end as deptime",
         "concat(cast(q-10 as string),'.0') as depdelay",
         f"{_clock('(crs+el)%1440')} as crsarrtime",
         f"concat({_clock('(dep+el-tz+1440)%1440')},'.0') as arrtime",

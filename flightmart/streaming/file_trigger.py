@@ -6,9 +6,7 @@ to ``foreachBatch``, which runs the same batch job (:func:`daily_load`) on it.
 The stream's checkpoint (in the shared folder) records which files were
 loaded, so a restart resumes with the next file; ``trigger(availableNow=True)``
 drains what is there and stops, which suits a scheduled job. A micro-batch
-replayed after a crash is a same-day rerun of that load; pass
-``LoadOptions(replace_fact_partition=True)`` to make it replace, not append,
-that load date's fact rows.
+replayed after a crash carries the same load id, so it is applied once.
 
 A streaming file source needs its schema up front, so the header is checked
 against the expected column list (by position, names case-insensitive).
@@ -25,16 +23,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flightmart.plans.daily_load import LoadOptions, daily_load
 from flightmart.schemas import RAW_COLUMNS
-from flightmart.sources.pipe_file import CSV_OPTIONS
+from flightmart.sources.pipe_file import CSV_OPTIONS, MALFORMED, refuse_long_rows
 from flightmart.sources.store import TableStore
 
 
 def start_file_loader(spark: SparkSession, store: TableStore, incoming: str,
                       as_of: Callable[[int], dt.date], *, columns: tuple[str, ...] = RAW_COLUMNS,
                       checkpoint: str | None = None, opts: LoadOptions = LoadOptions(),
-                      available_now: bool = True) -> StreamingQuery:
-    """Start the stream; ``as_of(epoch_id)`` gives each load's date."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+                      available_now: bool = True, name: str = "files") -> StreamingQuery:
+    """Start the stream. ``as_of(epoch_id)`` gives each load's date; it must not depend on the
+    clock, so that a replay gets the same one. ``name`` and the epoch name the load."""
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in columns], MALFORMED])
     files = (
         spark.readStream.options(**CSV_OPTIONS)
         .option("enforceSchema", "false")
@@ -46,7 +45,9 @@ def start_file_loader(spark: SparkSession, store: TableStore, incoming: str,
     def load(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        daily_load(batch.sparkSession, store, batch, as_of(epoch_id), opts)
+        # a replayed epoch has the same name and is not applied twice
+        daily_load(batch.sparkSession, store, refuse_long_rows(batch), as_of(epoch_id), opts,
+                   load_id=f"{name}-{epoch_id}")
 
     writer = (
         files.writeStream.foreachBatch(load)

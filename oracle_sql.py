@@ -31,16 +31,16 @@ select b2 as batch, concat_ws('-',cast(l_orderkey as string),cast(l_linenumber a
  cast(ymd as string) as flightdate,
  concat('C',cast(al as string)) as airlinecode,
  concat('Airline ',cast(al as string),': C',cast(al as string)) as airlinename,
- case when l_suppkey%17=3 then null when l_suppkey%17=4 then 'UNKNOWN' when l_suppkey%17=5 then 'NKNO' when l_suppkey%17=6 then '#NAME?' else concat('N',cast(l_suppkey as string)) end as tailnum,
- cast(fn as string) as flightnum,
+ case when l_suppkey%17=3 then null when l_suppkey%17=4 and l_linenumber%2=0 then 'UNKNOW' when l_suppkey%17=4 then 'UNKNOWN' when l_suppkey%17=5 then 'NKNO' when l_suppkey%17=6 then '#NAME?' else concat('N',cast(l_suppkey as string)) end as tailnum,
+ case when fn=49 and l_linenumber=7 then null else cast(fn as string) end as flightnum,
  concat('AP',cast(ok as string)) as originairportcode,
- concat('City',cast(ok as string),', S',cast(ok%10 as string),':  Field ',cast(ok as string),case when b2=1 and ok%10=0 then ' Intl' else '' end) as origairportname,
- concat('City',cast(ok as string)) as origincityname,
- concat('AP',cast(dk as string)) as destairportcode,
- concat('City',cast(dk as string),', S',cast(dk%10 as string),':  Field ',cast(dk as string),case when b2=1 and dk%10=0 then ' Intl' else '' end) as destairportname,
- concat('City',cast(dk as string)) as destcityname,
+ concat('City',cast(ok as string),', S',cast(ok%10 as string),':',case when ok%10=1 then chr(9) else '  ' end,'Field ',cast(ok as string),case when b2=1 and ok%10=0 then ' Intl' else '' end) as origairportname,
+ case when l_partkey%29=0 then 'NA' else concat('City',cast(ok as string)) end as origincityname,
+ concat('AP',cast(dk as string),case when b2=1 and dk=24 then 'X' else '' end) as destairportcode,
+ concat('City',cast(dk as string),', S',cast(dk%10 as string),':',case when dk%10=1 then chr(9) else '  ' end,'Field ',cast(dk as string),case when b2=1 and dk%10=0 then ' Intl' else '' end) as destairportname,
+ case when l_partkey%37=1 then 'N/A' else concat('City',cast(dk as string)) end as destcityname,
  cast(cast(floor(crs/60) as int)*100+crs%60 as string) as crsdeptime,
- concat(cast(cast(floor(dep/60) as int)*100+dep%60 as string), case when l_linenumber%2=0 then '.0' else '' end) as deptime,
+ case when l_linenumber=7 and l_partkey%3=0 then 'NaN' else concat(cast(cast(floor(dep/60) as int)*100+dep%60 as string), case when l_linenumber%2=0 then '.0' when l_linenumber=5 then '.5' else '' end) end as deptime,
  concat(cast(q-10 as string),'.0') as depdelay,
  cast(cast(floor(((crs+el)%1440)/60) as int)*100+((crs+el)%1440)%60 as string) as crsarrtime,
  concat(cast(cast(floor(((dep+el-tz+1440)%1440)/60) as int)*100+((dep+el-tz+1440)%1440)%60 as string),'.0') as arrtime,
@@ -100,7 +100,7 @@ BASE = [FEED_CTES, NF_CTE, CL_CTE]
 
 
 def _clock(c: str) -> str:
-    return f"cast(round(try_cast({c} as decimal(18,4))) as integer)"
+    return f"cast(round(try_cast({c} as decimal(38,18))) as integer)"
 
 
 MEASURES_CTE = f"""ms as (select *,
@@ -139,6 +139,13 @@ def _cols(d) -> list[str]:
     return list(d["keys"]) + list(d["attrs"])
 
 
+def _numbering(dim: str) -> list[str]:
+    """Columns in the order of the stage table, which new keys follow."""
+    if dim == "route":
+        return ["flightnum", "originairportcode", "destairportcode", "crsdeptime", "crsarrtime", "distance"]
+    return _cols(DIMS[dim])
+
+
 def stage_sql(dim: str, batch: int) -> str:
     if dim == "airplane":
         return f"select tailnum, airlinecode, airlinename from cl where batch = {batch} group by tailnum, airlinecode, airlinename"
@@ -179,17 +186,16 @@ def dim_chain(dim: str, n_loads: int, with_keys: bool = False) -> tuple[list[str
             f"(select {', '.join(keys)}, {d['content'].format(p='')} as content from {n}cur{i}) dim "
             f"on {on} where dlt.content != dim.content)")
         ctes.append(f"{n}ins{i} as (select * from {n}new{i} union select * from {n}chg{i})")
-        order = ", ".join(f"{c} nulls first" for c in cols)
-        text = "concat_ws('|', " + ", ".join(cols) + ")"
+        text = "concat_ws('|', " + ", ".join(_numbering(dim)) + ")"
         ctes.append(
-            f"{n}kb{i} as (select *, cast(('0x' || substr(md5({text}), 1, 4)) as integer) % {BUCKETS} as kb "
+            f"{n}kb{i} as (select *, cast(('0x' || substr(md5({text}), 1, 8)) as bigint) % {BUCKETS} as kb "
             f"from {n}ins{i})")
         ctes.append(
             f"{n}ko{i} as (select kb, coalesce(sum(cnt) over (order by kb rows between unbounded preceding "
             f"and 1 preceding), 0) as off from (select kb, count(*) as cnt from {n}kb{i} group by kb) c)")
         ctes.append(
             f"{n}kk{i} as (select {', '.join('x.' + c for c in cols)}, cast((select coalesce(max(skey), 0) from {p})"
-            f" + o.off + row_number() over (partition by x.kb order by {', '.join('x.' + c + ' nulls first' for c in cols)})"
+            f" + o.off + row_number() over (partition by x.kb order by {', '.join('x.' + c + ' nulls first' for c in _numbering(dim))})"
             f" as integer) as skey from {n}kb{i} x join {n}ko{i} o on x.kb = o.kb)")
         ctes.append(
             f"{n}u{i} as (select skey, {', '.join(cols)}, 'Y' as current_flag, {A} as efft_date, "
@@ -260,6 +266,23 @@ def _stage(dim: str) -> str:
     return _with(BASE, body)
 
 
+DIM_NAMES = {"airplane": "dim_airplane", "airport": "dim_airport", "route": "dim_air_route"}
+
+
+def _joined(cols) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in cols) + ")"
+
+
+def _each(table: str, extra: str, where: str = "", attrs: bool = True) -> str:
+    """The same SELECT over every dimension; ``{d}`` is its short name, ``{k}`` its keys."""
+    parts = []
+    for name, d in DIMS.items():
+        about = f", {_joined(d['attrs'])} as attributes" if attrs else ""
+        parts.append(f"select '{DIM_NAMES[name]}' as dim, {_joined(d['keys'])} as natural_key{about}, "
+                     f"{extra.format(k=', '.join(d['keys']))} from {table.format(d=name)} {where}")
+    return " union all ".join(parts)
+
+
 def _new(dim: str) -> str:
     return _with(_second_load(dim), f"select * from {dim}_new2")
 
@@ -307,27 +330,30 @@ def oracles() -> dict[str, str]:
     o["stage_airplane"] = _stage("airplane")
     o["stage_airport"] = _stage("airport")
     o["stage_air_route"] = _stage("route")
-    o["surrogate_keys"] = _with(_second_load("airplane"),
-                                "select skey as airplane_skey, tailnum, airlinecode, airlinename, efft_date from airplane_d2")
-    o["current_as_of"] = _with(_second_load("route"),
-                               f"select {_dim_public('route')} from route_d2 where date '2024-02-01' between efft_date and expy_date")
+    all_dims = BASE + [c for dim in DIMS for c in dim_chain(dim, 2)[0]]
+    o["surrogate_keys"] = _with(all_dims, _each("{d}_d2", "skey, efft_date"))
+    o["current_as_of"] = _with(all_dims, _each(
+        "{d}_d2", "current_flag, efft_date, expy_date", "where date '2024-02-01' between efft_date and expy_date"))
     for dim, q in (("airplane", "airplanes"), ("airport", "airports"), ("route", "routes")):
         o[f"new_{q}"] = _new(dim)
         o[f"changed_{q}"] = _changed(dim)
-    o["version_counts"] = _with(_second_load("route"), f"""select {_dim_public('route')},
- cast(count(*) over (partition by flightnum, originairportcode, destairportcode, distance) as integer) as cnt
- from route_u2 where date '2024-02-01' between efft_date and expy_date""")
-    o["expiry_candidates"] = _with(_second_load("route"), "select * from route_exp2")
+    o["version_counts"] = _with(all_dims, _each(
+        "{d}_u2", "current_flag, efft_date, expy_date, cast(count(*) over (partition by {k}) as integer) as cnt",
+        "where date '2024-02-01' between efft_date and expy_date"))
+    o["expiry_candidates"] = _with(all_dims, _each("{d}_exp2", "efft_date", attrs=False))
     o["scd2_airplane"] = _scd2("airplane")
     o["scd2_airport"] = _scd2("airport")
     o["scd2_air_route"] = _scd2("route")
-    o["fact_route_lookup"] = _with(_second_load("route"), """select c.transactionid, a.crsdeptime as route_crsdeptime,
- a.crsarrtime as route_crsarrtime, a.efft_date as route_efft_date from cl c left join route_d2 a
- on a.flightnum = c.flightnum and a.originairportcode = c.originairportcode and a.destairportcode = c.destairportcode
- and a.distance = c.distance where c.batch = 1""")
-    o["fact_airplane_lookup"] = _with(_second_load("airplane"), """select c.transactionid,
- a.airlinecode as airplane_airlinecode, a.airlinename as airplane_airlinename, a.efft_date as airplane_efft_date
- from cl c left join airplane_d2 a on a.tailnum = c.tailnum where c.batch = 1""")
+    o["fact_route_lookup"] = _with(BASE + dim_chain("route", 2)[0], " union all ".join(
+        f"""select {i} as load_no, c.transactionid, a.crsdeptime as route_crsdeptime, a.crsarrtime as route_crsarrtime,
+ a.efft_date as route_efft_date from cl c left join route_d{i} a on a.flightnum = c.flightnum
+ and a.originairportcode = c.originairportcode and a.destairportcode = c.destairportcode
+ and a.distance = c.distance where c.batch = {b}""" for i, (_, b) in enumerate(LOADS[:2], start=1)))
+    o["fact_airplane_lookup"] = _with(BASE + dim_chain("airplane", 2)[0], " union all ".join(
+        f"""select {i} as load_no, c.transactionid, a.airlinecode as airplane_airlinecode,
+ a.airlinename as airplane_airlinename, a.efft_date as airplane_efft_date
+ from cl c left join airplane_d{i} a on a.tailnum = c.tailnum where c.batch = {b}"""
+        for i, (_, b) in enumerate(LOADS[:2], start=1)))
     o["fact_flights"] = _with(_fact_ctes(), """select load_date, transactionid, distance, distancegroup, depdelay,
  depdelaygt15, nextdayarr, has_route, has_airplane from fact""")
     o["vw_flights"] = _with(_fact_ctes(), VIEW_BODY)

@@ -48,14 +48,29 @@ def test_row_filters(spark):
         row("c1", cancelled="True"), row("c2", cancelled="T"), row("c3", cancelled="1"),
         row("c4", cancelled="true"),  # case-sensitive: kept, loads as true
         row("d1", diverted="True"), row("d2", diverted="T"), row("d3", diverted="1"),
-        row("n1", cancelled=None), row("n2", diverted=None),
         row("t1", tailnum=None), row("t2", tailnum="NKNO"), row("t3", tailnum="UNKNOW"),
         row("t4", tailnum="UNKNOWN"), row("t5", tailnum="#NAME?"), row("t6", tailnum="NA"),
     ]
     out = clean_rows(spark, rows)
-    assert set(out) == {"c4", "n1", "n2", "t4", "t5"}
+    assert set(out) == {"c4", "t4", "t5"}
     assert out["c4"].cancelled is True
-    assert out["n1"].cancelled is None
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("bad", [
+    {"flightdate": None}, {"cancelled": None}, {"diverted": "NA"}, {"depdelay": "abc"}, {"depdelay": None},
+    {"distance": "far miles"}, {"distance": None}, {"cancelled": "perhaps"},
+])
+def test_kept_rows_with_missing_or_unreadable_values_reject_the_batch(spark, ansi, bad):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException):
+            clean_rows(spark, [row("ok"), row("bad", **bad)])
+        # a dropped row may hold anything but an unreadable date
+        dropped = {k: v for k, v in bad.items() if k not in ("cancelled", "diverted")}
+        assert set(clean_rows(spark, [row("ok"), row("gone", **{**dropped, "cancelled": "True"})])) == {"ok"}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_na_tokens_become_null(spark):
