@@ -176,3 +176,29 @@ def test_window_quantities_group_null_keys_like_partition_by(spark):
     want = Counter((r.airportcode, r.efft_date) for r in ranked.collect())
     got = Counter((r.airportcode, r.efft_date) for r in scd2.expiry_candidates(dim, AIRPORT, D3).collect())
     assert got == want and (None, D1) in got
+
+
+def test_last_step_does_not_shuffle_the_history(spark):
+    from flightmart.session import materialize
+
+    dim = scd2.empty_dim(spark, AIRPLANE)
+    for day, code in ((D1, "A"), (D2, "B"), (D3, "C")):
+        stage = materialize(stage_df(spark, AIRPLANE, [ap(f"N{i}", code) for i in range(50)]), "t-stage")
+        nxt = scd2.scd2_step(dim, stage, AIRPLANE, day)
+        plan = nxt._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        dim = materialize(nxt, "t-dim")
+    assert dim.count() == 150
+
+
+def test_insert_set_is_computed_once(spark):
+    from flightmart.session import materialize
+
+    first = materialize(scd2.scd2_step(scd2.empty_dim(spark, AIRPLANE),
+                                       materialize(stage_df(spark, AIRPLANE, [ap("N1", "A")]), "t"), AIRPLANE, D1), "t")
+    stage = materialize(stage_df(spark, AIRPLANE, [ap("N1", "B"), ap("N2", "C")]), "t")
+    plan = scd2.unkeyed_inserts(stage, first, AIRPLANE, D2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1 and plan.count("LeftSemi") == 1
+    # the keyed inserts are a written table: no join is left in their plan
+    keyed = scd2.inserts(stage, first, AIRPLANE, D2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in keyed
