@@ -11,9 +11,12 @@ are linked if 100 * |intersection| >= 75 * |union|, checked on the full sets.
    make the candidate buckets: a pair at similarity 0.75 shares no bucket with
    a probability of 5e-6, at 0.85 of 6e-11.
 3. Within a bucket the class that shares most buckets is the hub. All others
-   are compared with the hub only. Buckets whose classes then lie in several
-   components go on with more hubs (1, 8, 64, ... a round), comparing only
-   classes of different components, until every pair has been compared or is
+   are compared with the hub only. Where a bucket's classes then still lie in
+   several components, shingles that occur in one component only are counted:
+   two classes of different components can't share them, which bounds their
+   similarity. Classes and pairs whose bound is too low are struck off. What is left
+   goes on with more hubs (32, 1024, ... a round), comparing only classes of
+   different components, until every pair has been compared, ruled out or
    joined by a path. No cap is set, and no pair of one component is emitted.
 4. Candidates are verified on the whole sets and joined by union-find.
 
@@ -42,7 +45,8 @@ WORDS = 5
 SIMILARITY = (75, 100)
 BANDS, ROWS = 32, 4
 SALTS = 16
-HUB_GROWTH = 8
+ELEMENTS = 1 << 16  # shingles whose permutations are held at a time
+HUB_GROWTH = 32
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -69,6 +73,17 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
 
 
 def super_minhash(sets: list[np.ndarray], size: int) -> np.ndarray:
+    """SuperMinHash signatures of any number of sets, ELEMENTS at a time (or one larger set)."""
+    out, lo, held = [np.empty((0, size), U)], 0, 0
+    for i, s in enumerate(sets):
+        if i > lo and held + len(s) > ELEMENTS:
+            out.append(_super_minhash(sets[lo:i], size))
+            lo, held = i, 0
+        held += len(s)
+    return np.concatenate([*out, _super_minhash(sets[lo:], size)])
+
+
+def _super_minhash(sets: list[np.ndarray], size: int) -> np.ndarray:
     """SuperMinHash signatures (``len(sets)`` x ``size``, one 64-bit word per slot).
 
     Element x draws, for j = 0, 1, ..., a random number in [j, j + 1) for the
@@ -107,7 +122,7 @@ def super_minhash(sets: list[np.ndarray], size: int) -> np.ndarray:
                 x, doc, place = x[stay], doc[stay], place[stay]
                 perm = perm[stay] if perm is not None else None
             if perm is None:
-                perm = np.tile(np.arange(size, dtype=np.uint16), (len(x), 1))
+                perm = np.tile(np.arange(size, dtype=np.uint8 if size <= 256 else np.uint16), (len(x), 1))
                 rows = np.arange(len(x))
                 perm[rows, place] = 0
                 perm[rows, 0] = place
@@ -123,79 +138,98 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, digest, bands``: the set's size, its 128-bit digest and its band keys."""
+    """``doc_id, content, n_shingles, digest, bands``: a hash of the text, the set's size, its
+    128-bit digest and its band keys."""
 
     def run(batch: pa.RecordBatch) -> dict:
         sets = shingle_sets(batch.column("text"))
         keys = band_keys(super_minhash(sets, bands * rows), bands, rows)
         return {
             "doc_id": batch.column("doc_id"),
+            "content": batch.column("content"),
             "n_shingles": np.array([len(s) for s in sets], np.int64),
             "digest": [hashlib.md5(s.tobytes()).digest() for s in sets],
             "bands": pa.ListArray.from_arrays(
                 np.arange(len(sets) + 1, dtype=np.int32) * bands, pa.array(keys.reshape(-1))),
         }
 
-    return map_batches(text_rows(docs), run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    source = text_rows(docs).withColumn("content", F.xxhash64("text"))
+    return map_batches(
+        source, run, "doc_id long, content long, n_shingles long, digest binary, bands array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of digests whose whole sets are similar enough."""
+    """The pairs ``(a, b)`` of classes whose whole sets are similar enough."""
     num, den = SIMILARITY
 
     def run(batch: pa.RecordBatch) -> dict:
         left, right = shingle_sets(batch.column("text_a")), shingle_sets(batch.column("text_b"))
         common = np.array([np.intersect1d(s, t, assume_unique=True).size for s, t in zip(left, right, strict=True)])
         either = np.array([len(s) + len(t) for s, t in zip(left, right, strict=True)]) - common
-        hit = np.flatnonzero(den * common >= num * either)
-        return {"a": batch.column("a").take(pa.array(hit)), "b": batch.column("b").take(pa.array(hit))}
+        hit = pa.array(np.flatnonzero(den * common >= num * either))
+        return {"a": batch.column("a").take(hit), "b": batch.column("b").take(hit)}
+
+    a = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
+    return map_batches(pairs.select("a", "b").join(a, "a").join(b, "b"), run, "a long, b long")
+
+
+def private_shingles(open_rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``cid, own`` of the open classes with private shingles: ``own`` is their number.
+
+    A shingle is private if all open classes that hold it are of one component, so a
+    class of another component shares none of them.
+    """
+    classes = open_rows.select("cid", "root").distinct()
+
+    def run(batch: pa.RecordBatch) -> dict:
+        sets = shingle_sets(batch.column("text"))
+        at = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+        return {"cid": batch.column("cid").take(at), "root": batch.column("root").take(at),
+                "shingle": np.concatenate(sets).view(np.int64)}
 
-    a = texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b"))
-    return map_batches(pairs.select("a", "b").join(a, "a").join(b, "b"), run, "a binary, b binary")
+    rows = map_batches(classes.join(texts, "cid"), run, "cid long, root long, shingle long")
+    rows = materialize(rows, "nd-open-shingles")
+    private = rows.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo = hi")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    private = private.select("shingle").withColumn("salt", salts)
+    rows = rows.withColumn("salt", F.pmod("cid", F.lit(SALTS)).cast("int"))
+    return rows.join(private, ["shingle", "salt"], "left_semi").groupBy("cid").agg(F.count("*").alias("own"))
 
 
-def _size_filter(a: str, b: str):
-    """Sets whose sizes differ too much can't be similar: |small| / |large| bounds the similarity."""
+def _possible(n: str, own: str, hub_n: str, hub_own: str):
+    """Can two classes of different components be similar? They share at most the shingles that
+    neither has for itself, so c = min(n - own) bounds the intersection and c / (n + n' - c)
+    the similarity."""
     num, den = SIMILARITY
-    return den * F.least(a, b) >= num * F.greatest(a, b)
+    common = F.least(F.col(n) - F.col(own), F.col(hub_n) - F.col(hub_own))
+    return den * common >= num * (F.col(n) + F.col(hub_n) - common)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``."""
-    source = text_rows(docs)
-    sig = materialize(signatures(docs), "nd-sig")
-    classes = sig.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("label"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    classes = materialize(classes, "nd-classes")
+def _split(rows: DataFrame) -> DataFrame | None:
+    """The rows of buckets that hold several components; None if there are none."""
+    split = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    rows = materialize(rows.join(split.select("key"), "key", "left_semi"), "nd-open")
+    return rows if rows.limit(1).count() else None
 
-    rows = classes.select("digest", "n", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    salted = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("digest"), F.lit(SALTS)).cast("int")
-    buckets = rows.withColumn("salt", salt).join(materialize(salted, "nd-shared"), ["key", "salt"]).select(
-        "key", "size", "digest", "n")
-    buckets = materialize(buckets, "nd-buckets")
-    score = buckets.groupBy("digest").agg(F.sum("size").alias("score"))
-    members = materialize(buckets.join(score, "digest").select("key", "digest", "n", "score"), "nd-members")
-
-    needed = members.select("digest").distinct().join(classes.select("digest", "label"), "digest")
-    texts = source.join(needed.select("digest", F.col("label").alias("doc_id")), "doc_id").groupBy("digest").agg(
-        F.first("text").alias("text"))
-    texts = materialize(texts, "nd-texts")
-
-    links, roots, hubs_per_round, tested = None, None, 1, None
-    open_rows = members.withColumn("root", F.col("digest"))
-    while True:
-        groups = open_rows.withColumn("part", F.pmod(F.xxhash64("digest", F.lit(1)), F.lit(hubs_per_round)))
-        hubs = groups.groupBy("key", "part").agg(F.max(F.struct("score", "digest", "n", "root")).alias("hub")).select(
-            "key", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("digest", "n", "root")])
+
+def links_between(members: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """``node, root`` of every linked class of ``members(key, cid, n, score)``; None without buckets."""
+    num, den = SIMILARITY
+    links, roots, tested, hubs_per_round = None, None, None, 1
+    salt = F.pmod("cid", F.lit(SALTS)).cast("int")
+    # at first every class is a component of its own, and every bucket holds several
+    open_rows = members.withColumn("root", F.col("cid")).withColumn("own", F.lit(0).cast("long"))
+    while open_rows is not None:
+        part = F.pmod(F.xxhash64("cid"), F.lit(hubs_per_round)).alias("part")
+        hubs = open_rows.groupBy("key", part).agg(F.max(F.struct("score", "cid", "n", "own", "root")).alias("hub")).select(
+            "key", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("cid", "n", "own", "root")])
         hubs = materialize(hubs, "nd-hubs")
-        salted_hubs = hubs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = hubs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         pairs = (
-            open_rows.withColumn("salt", salt).join(salted_hubs, ["key", "salt"])
-            .where((F.col("root") != F.col("hub_root")) & _size_filter("n", "hub_n"))
-            .select(F.least("digest", "hub_digest").alias("a"), F.greatest("digest", "hub_digest").alias("b"))
+            open_rows.withColumn("salt", salt).join(salted, ["key", "salt"])
+            .where((F.col("root") != F.col("hub_root")) & _possible("n", "own", "hub_n", "hub_own"))
+            .select(F.least("cid", "hub_cid").alias("a"), F.greatest("cid", "hub_cid").alias("b"))
             .distinct()
         )
         if tested is not None:
@@ -203,24 +237,59 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs = materialize(pairs, "nd-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = materialize(verified(pairs, texts), "nd-links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
+        if links is None or found.limit(1).count():
+            links = found if links is None else links.unionByName(found)
+            roots = components(links)
         # members that were hubs have met their whole bucket; the rest go on
         # only where a bucket still holds several components
-        rest = open_rows.drop("root").join(
-            hubs.select("key", F.col("hub_digest").alias("digest")), ["key", "digest"], "left_anti")
-        rest = rest.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
-            "root", F.coalesce("root", "digest"))
-        rest = materialize(rest, "nd-open")
-        split = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        split = materialize(split.select("key"), "nd-split")
-        if split.limit(1).count() == 0:
-            break
-        open_rows = materialize(rest.join(split, "key", "left_semi"), "nd-open")
+        rest = open_rows.drop("root", "own").join(
+            hubs.select("key", F.col("hub_cid").alias("cid")), ["key", "cid"], "left_anti")
+        rest = rest.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+            "root", F.coalesce("root", "cid"))
+        open_rows = _split(materialize(rest, "nd-rest"))
+        if open_rows is not None:
+            own = materialize(private_shingles(open_rows, texts), "nd-own")
+            known = open_rows.join(own, "cid", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+            # against the best partner thinkable: of the same shared shingles and none of its own
+            open_rows = _split(known.where(den * (F.col("n") - F.col("own")) >= num * F.col("n")))
         hubs_per_round *= HUB_GROWTH
+    return roots
+
+
+def _known(column: str):
+    return F.coalesce(F.col(column), F.lit((1 << 63) - 1))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``."""
+    sig = materialize(signatures(docs), "nd-sig")
+    classes = sig.where("n_shingles > 0").groupBy("digest").agg(
+        F.min("doc_id").alias("label"), F.min(F.struct(_known("doc_id").alias("id"), "content")).alias("text_of"),
+        F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "nd-classes")
+
+    rows = classes.select("cid", "n", F.explode("bands").alias("key"))
+    shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    salted = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod("cid", F.lit(SALTS)).cast("int")
+    buckets = rows.withColumn("salt", salt).join(salted, ["key", "salt"]).select(
+        "key", "size", "cid", "n")
+    buckets = materialize(buckets, "nd-buckets")
+    score = buckets.groupBy("cid").agg(F.sum("size").alias("score"))
+    members = materialize(buckets.join(score, "cid").select("key", "cid", "n", "score"), "nd-members")
+
+    # a class's text by id and hash, as ids may be null or repeat with other texts
+    needed = members.select("cid").distinct().join(classes.select("cid", "text_of.*"), "cid")
+    source = text_rows(docs).select(_known("doc_id").alias("id"), F.xxhash64("text").alias("content"), "text")
+    texts = source.join(needed, ["id", "content"]).groupBy("cid").agg(F.first("text").alias("text"))
+    roots = links_between(members, materialize(texts, "nd-texts"))
 
-    labels = classes.select("digest", "label").join(
-        roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    labels = classes.select("cid", "digest", "label")
+    if roots is None:
+        labels = labels.withColumn("root", F.col("cid"))
+    else:
+        labels = labels.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+            "root", F.coalesce("root", "cid"))
     least = labels.groupBy("root").agg(F.min("label").alias("component_id"))
     groups = materialize(labels.join(least, "root").select("digest", "component_id"), "nd-groups")
     out = sig.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
