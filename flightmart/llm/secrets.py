@@ -113,6 +113,8 @@ def ratios(docs: DataFrame, spans: DataFrame) -> list[float]:
     for kind in BASE:
         sample = sample.where(~F.col("text").rlike(KINDS[kind][1]))
     ordinary = sample.select(F.explode(F.regexp_extract_all("text", F.lit(f"{_CHARS}{{4,}}"), F.lit(0))).alias("word"))
+    # tokens that are yet to be judged are no labelled sample
+    ordinary = ordinary.where((F.length("word") < MIN_TOKEN) | ~F.col("word").rlike("[0-9]"))
     alphabet = [c for c in range(_SYMBOLS) if chr(c).isalnum() or chr(c) in "+/_=-"]
 
     def logs(counts: dict, prior: float) -> dict:
