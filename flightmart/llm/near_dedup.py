@@ -297,3 +297,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return out.select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+# DuckDB SQL for ``near_duplicates`` over the table documents
+ORACLE = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT rid, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM docs
+), sizes AS (
+  SELECT rid, count(*) AS n FROM shingles GROUP BY rid
+), common AS (
+  SELECT a.rid AS a, b.rid AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.rid < b.rid GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.rid = a JOIN sizes y ON y.rid = b WHERE 100 * k >= 75 * (x.n + y.n - k)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT rid AS a, rid AS b FROM docs UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
+), least AS (
+  SELECT r.a AS rid, min(d.doc_id) AS component_id FROM reach r JOIN docs d ON d.rid = r.b GROUP BY r.a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM docs JOIN least USING (rid) LEFT JOIN sizes USING (rid)
+"""

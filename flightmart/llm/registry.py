@@ -62,5 +62,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_near_dedup": near_dedup.ORACLE,
+    "op6_suffix_dedup": suffix_dedup.ORACLE,
     "op9_quality": quality.ORACLE,
 }

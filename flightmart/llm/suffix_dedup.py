@@ -520,3 +520,29 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return rows.select(*schema.fieldNames(), "runs").mapInArrow(run, schema)
+
+
+# DuckDB SQL for ``cut_texts`` over the table documents
+ORACLE = r"""
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents
+), starts AS (
+  SELECT doc_id, i, md5(substr(hx, 2 * i + 1, 200)) AS w FROM (SELECT doc_id, hx, unnest(range(0, len(hx) // 2 - 99)) AS i FROM docs)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM starts) WHERE n > 1
+), marked AS (
+  SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM (
+    SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM later)
+), spans AS (
+  SELECT doc_id, min(i) AS lo, max(i) + 100 AS hi FROM marked GROUP BY doc_id, span
+), gaps AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM spans
+), cut AS (
+  SELECT g.doc_id, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans, max(hi) AS last,
+         string_agg(substr(hx, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS kept
+  FROM gaps g JOIN docs d USING (doc_id) GROUP BY g.doc_id
+)
+SELECT doc_id, (len(hx) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(hx, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)
+"""
