@@ -103,12 +103,15 @@ def _pair_counts(words: DataFrame) -> dict[tuple[int, int], int]:
     return {(r.a, r.b): r.n for r in pairs.groupBy("p.a", "p.b").agg(F.count("*").alias("n")).collect()}
 
 
-def ratios(docs: DataFrame, spans: DataFrame) -> list[float]:
+def ratios(docs: DataFrame, spans: DataFrame, n_docs: int) -> list[float]:
     """Log of P(b | a, random) / P(b | a, ordinary) at a * 128 + b."""
     base = spans.where(F.col("kind") < len(BASE)).select(F.col("value").alias("word")).distinct()
     random = base.orderBy(F.xxhash64("word"), "word").limit(SAMPLE_VALUES)
     sample = docs.where(F.length("text") > 0).select(
         F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("text").alias("at"))
+    # of many documents only every so many-th hash is looked at, so that a task's candidates
+    # don't grow with the number of tasks
+    sample = sample.where(F.pmod("at", F.lit(max(1, n_docs // (4 * SAMPLE_DOCS)))) == 0)
     sample = sample.orderBy("at", "text").limit(SAMPLE_DOCS)
     for kind in BASE:
         sample = sample.where(~F.col("text").rlike(KINDS[kind][1]))
@@ -141,7 +144,7 @@ def _mean_ratio(table: list[float]) -> Column:
 def secret_spans(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """``row, kind, start, end`` of base and Markov spans."""
     spans = materialize(placed(rows), "secret-spans")
-    mean, literal = _mean_ratio(ratios(docs, spans))
+    mean, literal = _mean_ratio(ratios(docs, spans, rows.count()))
     tokens = spans.where((F.col("kind") == len(BASE)) & F.col("value").rlike("[A-Za-z]"))
     tokens = tokens.select("*", _codes("value").alias("codes"), literal.alias("table")).where(mean > MIN_RATIO)
     both = spans.where(F.col("kind") < len(BASE)).unionByName(tokens.drop("codes", "table"))
