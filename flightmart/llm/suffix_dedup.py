@@ -29,9 +29,12 @@ anchor owns are consecutive; with the LENGTH - 1 bytes after them they form a
 3. Removed starts return to their documents, which are cut.
 
 Edge cases: null text = empty text: nothing to remove. Texts of fewer than
-LENGTH bytes are never cut. Rows that repeat a doc_id count as that one
-document: a string they share at the same place is not earlier. A null doc_id
-sorts before all others. Other columns are ignored. Empty tables give no rows.
+LENGTH bytes are never cut. Rows that repeat a doc_id and its text count as that
+one document: a string they share at the same place is not earlier, and all of them
+get the same cuts. Rows of one doc_id with other texts are documents of their own,
+in the order of a hash of the text (their ``version``), so one copy of a string
+always stays. A null doc_id sorts before all others. Other columns are ignored.
+Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -56,6 +59,7 @@ FREQUENT = 50_000
 PART_ROWS = 10_000
 LOW12 = U(4095)
 NULL_ID = -(1 << 63)
+KEY = ["doc_id", "version"]
 _MAX = np.iinfo(U).max
 
 
@@ -102,7 +106,7 @@ def owners(data: np.ndarray, offsets: np.ndarray, length: int, k: int):
 
 
 def segment_rows(docs: DataFrame, frequent: np.ndarray, spread: np.ndarray) -> DataFrame:
-    """``anchor, code, doc_id, first`` of every segment of ``docs(doc_id, text)``.
+    """``anchor, code, doc_id, version, first`` of every segment of ``docs(doc_id, version, text)``.
 
     ``anchor`` keeps 52 bits of the hash; its low 12 bits are 0, or, for one
     of the ``frequent`` anchors, a part from 1 to its ``spread`` taken from the
@@ -113,23 +117,23 @@ def segment_rows(docs: DataFrame, frequent: np.ndarray, spread: np.ndarray) -> D
 
     def run(batch: pa.RecordBatch) -> dict:
         often, parts = shared.value
-        ids = batch.column("doc_id").to_numpy()
-        out = [[], [], [], []]
+        ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
+        out = [[], [], [], [], []]
         for lo, hi, data, offsets in chunks(batch.column("text")):
             text, first, count, anchor, digest = owners(data, offsets, LENGTH, K)
-            doc = ids[lo:hi][text]
+            doc, version = ids[lo:hi][text], versions[lo:hi][text]
             anchor = (anchor & ~LOW12).view(np.int64)
             if len(often):
                 at = np.minimum(np.searchsorted(often, anchor), len(often) - 1)
-                part = 1 + (mix(doc.view(U)) % parts[at].astype(U)).astype(np.int64)
+                part = 1 + (mix(doc.view(U) ^ version.view(U)) % parts[at].astype(U)).astype(np.int64)
                 anchor = anchor | np.where(often[at] == anchor, part, 0)
             code = (digest & ~U(127)) | count.astype(U)
-            for column, values in zip(out, (anchor, code.view(np.int64), doc, first - offsets[text]), strict=True):
+            for column, values in zip(out, (anchor, code.view(np.int64), doc, version, first - offsets[text]), strict=True):
                 column.append(values)
-        anchor, code, doc, first = (np.concatenate(c) if c else np.empty(0, np.int64) for c in out)
-        return {"anchor": anchor, "code": code, "doc_id": doc, "first": first}
+        anchor, code, doc, version, first = (np.concatenate(c) if c else np.empty(0, np.int64) for c in out)
+        return {"anchor": anchor, "code": code, "doc_id": doc, "version": version, "first": first}
 
-    return map_batches(docs, run, "anchor long, code long, doc_id long, first long")
+    return map_batches(docs, run, "anchor long, code long, doc_id long, version long, first long")
 
 
 def chunks(texts: pa.Array, size: int = 1 << 20):
@@ -156,14 +160,14 @@ def frequent_anchors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def same_segments(rows: DataFrame) -> DataFrame:
-    """``anchor, code, doc_id, first, kind`` of rows sorted by anchor, code, document and start:
+    """``anchor, code, doc_id, version, first, kind`` of rows sorted by anchor, code, document and start:
     kind 0 equals an earlier segment of its anchor; kind 1 is the first of its
     kind while its anchor has others; the rest (segments alone) is dropped. Parts of
     frequent anchors give kind 2 instead of 1, also for segments alone."""
-    schema = "anchor long, code long, doc_id long, first long, kind int"
+    schema = "anchor long, code long, doc_id long, version long, first long, kind int"
     target = arrow_schema(schema)
 
-    def decide(anchor, code, doc, first):
+    def decide(anchor, code, doc, version, first):
         new_anchor = np.ones(len(anchor), bool)
         new_anchor[1:] = anchor[1:] != anchor[:-1]
         new_code = new_anchor.copy()
@@ -173,13 +177,13 @@ def same_segments(rows: DataFrame) -> DataFrame:
         part = (anchor & 4095) > 0
         kind = np.where(~new_code, 0, np.where(part, 2, np.where(several, 1, -1))).astype(np.int32)
         at = np.flatnonzero(kind >= 0)
-        return to_batch({"anchor": anchor[at], "code": code[at], "doc_id": doc[at], "first": first[at],
-                         "kind": kind[at]}, target)
+        return to_batch({"anchor": anchor[at], "code": code[at], "doc_id": doc[at], "version": version[at],
+                         "first": first[at], "kind": kind[at]}, target)
 
     def run(batches):
         held = None
         for batch in batches:
-            columns = [batch.column(c).to_numpy() for c in ("anchor", "code", "doc_id", "first")]
+            columns = [batch.column(c).to_numpy() for c in ("anchor", "code", "doc_id", "version", "first")]
             if held is not None:
                 columns = [np.concatenate(pair) for pair in zip(held, columns, strict=True)]
             # the last anchor may go on in the next batch
@@ -324,11 +328,12 @@ class ShardMerger:
 
 
 def resolved(edges: DataFrame) -> DataFrame:
-    """``doc_id, first, count`` runs of removed starts of ``edges(anchor, doc_id, first, count, bytes)``.
+    """``doc_id, version, first, count`` runs of removed starts of
+    ``edges(anchor, doc_id, version, first, count, bytes)``.
 
     Rows come sorted by anchor, document and start within a partition.
     """
-    schema = "doc_id long, first long, count int"
+    schema = "doc_id long, version long, first long, count int"
     target = arrow_schema(schema)
 
     def flush(merger: ShardMerger, rows: list[pa.RecordBatch]):
@@ -347,6 +352,7 @@ def resolved(edges: DataFrame) -> DataFrame:
         seg = lane[at[head]]
         return to_batch({
             "doc_id": batch.column("doc_id").take(pa.array(seg)),
+            "version": batch.column("version").take(pa.array(seg)),
             "first": batch.column("first").to_numpy()[seg] + inside[at[head]],
             "count": np.diff(np.append(head, len(at))).astype(np.int32)}, target)
 
@@ -372,7 +378,7 @@ def resolved(edges: DataFrame) -> DataFrame:
 
 
 def windows(edges: DataFrame) -> DataFrame:
-    """``digest, doc_id, first`` of every owned window (for anchors with very many segments)."""
+    """``digest, doc_id, version, first`` of every owned window (for anchors with very many segments)."""
 
     def run(batch: pa.RecordBatch) -> dict:
         data, bounds = utf8(batch.column("bytes"))
@@ -382,14 +388,15 @@ def windows(edges: DataFrame) -> DataFrame:
         raw, starts = data.tobytes(), (bounds[lane] + inside).tolist()
         return {"digest": pa.array([hashlib.md5(raw[s:s + LENGTH]).digest() for s in starts], pa.binary()),
                 "doc_id": batch.column("doc_id").take(pa.array(lane)),
+                "version": batch.column("version").take(pa.array(lane)),
                 "first": batch.column("first").to_numpy()[lane] + inside}
 
-    return map_batches(edges, run, "digest binary, doc_id long, first long")
+    return map_batches(edges, run, "digest binary, doc_id long, version long, first long")
 
 
 def edge_bytes(docs: DataFrame, edges: DataFrame) -> DataFrame:
-    """``anchor, doc_id, first, count, bytes`` of ``edges(anchor, doc_id, first, count)``."""
-    wanted = edges.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "first", "count")).alias("edges"))
+    """``anchor, doc_id, version, first, count, bytes`` of ``edges(anchor, doc_id, version, first, count)``."""
+    wanted = edges.groupBy(*KEY).agg(F.collect_list(F.struct("anchor", "first", "count")).alias("edges"))
 
     def run(batch: pa.RecordBatch) -> dict:
         data, offsets = utf8(batch.column("text"))
@@ -398,23 +405,24 @@ def edge_bytes(docs: DataFrame, edges: DataFrame) -> DataFrame:
         first, count = flat.field("first").to_numpy(), flat.field("count").to_numpy()
         lane = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
         start = offsets[lane] + first
-        stop = np.minimum(start + count + LENGTH - 1, offsets[lane + 1])
-        # a doc_id may repeat with other texts: their segments are not these
-        fits = np.flatnonzero(stop - start == count + LENGTH - 1)
-        pick = pa.array(fits)
-        return {"anchor": flat.field("anchor").take(pick), "doc_id": batch.column("doc_id").take(pa.array(lane[fits])),
-                "first": first[fits], "count": count[fits],
-                "bytes": pa.array([raw[a:b] for a, b in zip(start[fits].tolist(), stop[fits].tolist(), strict=True)],
-                                  pa.binary())}
+        stop = start + count + LENGTH - 1
+        pick = pa.array(lane)
+        return {"anchor": flat.field("anchor"), "doc_id": batch.column("doc_id").take(pick),
+                "version": batch.column("version").take(pick), "first": first, "count": count,
+                "bytes": pa.array([raw[a:b] for a, b in zip(start.tolist(), stop.tolist(), strict=True)], pa.binary())}
 
-    return map_batches(docs.join(wanted, "doc_id"), run, "anchor long, doc_id long, first long, count int, bytes binary")
+    return map_batches(docs.join(wanted, KEY), run,
+                       "anchor long, doc_id long, version long, first long, count int, bytes binary")
 
 
 def removed_starts(docs: DataFrame) -> DataFrame:
-    """``doc_id, first, count``: runs of starts whose window starts earlier elsewhere."""
+    """``doc_id, version, first, count``: runs of starts whose window starts earlier elsewhere.
+
+    ``docs(doc_id, version, text)`` holds every key once.
+    """
     parts = _partitions(docs)
     rows = segment_rows(docs, *frequent_anchors(docs))
-    order = ("anchor", "code", "doc_id", "first")
+    order = ("anchor", "code", *KEY, "first")
     level1 = materialize(same_segments(rows.repartition(parts, "anchor").sortWithinPartitions(*order)), "sa-level1")
 
     whole = F.shiftleft(F.shiftright("anchor", 12), 12)
@@ -425,21 +433,21 @@ def removed_starts(docs: DataFrame) -> DataFrame:
     level2 = materialize(same_segments(calm), "sa-level2")
 
     starts = F.col("code").bitwiseAND(127).cast("int").alias("count")
-    gone = level1.where("kind = 0").unionByName(level2.where("kind = 0")).select("doc_id", "first", starts)
+    gone = level1.where("kind = 0").unionByName(level2.where("kind = 0")).select(*KEY, "first", starts)
     edges = level1.where("kind = 1").unionByName(level2.where("kind = 1")).select(
-        "anchor", "doc_id", "first", starts, F.lit(False).alias("busy"))
+        "anchor", *KEY, "first", starts, F.lit(False).alias("busy"))
     spread = often.join(busy, "anchor", "left_semi").select(
-        "anchor", "doc_id", "first", starts, F.lit(True).alias("busy"))
+        "anchor", *KEY, "first", starts, F.lit(True).alias("busy"))
     # the low bit of an anchor is free: it tells the busy ones apart
     both = edges.unionByName(spread).withColumn(
         "anchor", F.when(F.col("busy"), F.col("anchor") + 1).otherwise(F.col("anchor")))
     held = materialize(edge_bytes(docs, both), "sa-edges")
     low = F.col("anchor").bitwiseAND(1)
-    shards = held.where(low == 0).repartition(parts, "anchor").sortWithinPartitions("anchor", "doc_id", "first")
+    shards = held.where(low == 0).repartition(parts, "anchor").sortWithinPartitions("anchor", *KEY, "first")
     single = windows(held.where(low == 1))
-    least = single.groupBy("digest").agg(F.min(F.struct("doc_id", "first")).alias("least"))
-    later = single.join(least, "digest").where(F.struct("doc_id", "first") != F.col("least")).select(
-        "doc_id", "first", F.lit(1).alias("count"))
+    least = single.groupBy("digest").agg(F.min(F.struct(*KEY, "first")).alias("least"))
+    later = single.join(least, "digest").where(F.struct(*KEY, "first") != F.col("least")).select(
+        *KEY, "first", F.lit(1).alias("count"))
     return gone.unionByName(resolved(shards)).unionByName(later)
 
 
@@ -448,10 +456,11 @@ def _partitions(docs: DataFrame) -> int:
     return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
 
 
-def _runs(docs: DataFrame) -> DataFrame:
-    """``doc_id, runs``: the removed starts of every cut document, as start * 128 + count."""
-    runs = removed_starts(docs).select("doc_id", (F.col("first") * 128 + F.col("count")).alias("run"))
-    return runs.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
+def _runs(keyed: DataFrame, repeated: bool) -> DataFrame:
+    """``doc_id, version, runs``: the removed starts of every cut document, as start * 128 + count."""
+    docs = materialize(keyed.distinct(), "sa-docs") if repeated else keyed
+    runs = removed_starts(docs).select(*KEY, (F.col("first") * 128 + F.col("count")).alias("run"))
+    return runs.groupBy(*KEY).agg(F.collect_list("run").alias("runs"))
 
 
 def _cut(text: bytes, packed: pa.Scalar) -> tuple[bytes, int, int]:
@@ -473,14 +482,22 @@ def _cut(text: bytes, packed: pa.Scalar) -> tuple[bytes, int, int]:
     return left, len(text) - len(left), len(begin)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    rows = text_rows(docs)
-    return rows.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``doc_id, version, text`` of every row, and whether some doc_id has several rows (else all versions are 0)."""
+    rows = text_rows(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
+    several = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = bool(several.limit(1).count())
+    return rows.select("doc_id", _version(repeated), "text"), repeated
+
+
+def _version(repeated: bool):
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return (F.xxhash64(text) if repeated else F.lit(0).cast("long")).alias("version")
 
 
 def cut_texts(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row."""
-    keyed = _keyed(docs)
+    keyed, repeated = _keyed(docs)
 
     def run(batch: pa.RecordBatch) -> dict:
         data, offsets = utf8(batch.column("text"))
@@ -489,7 +506,7 @@ def cut_texts(docs: DataFrame) -> DataFrame:
         return {"doc_id": batch.column("doc_id"), "n_bytes": np.diff(offsets), "n_removed": [c[1] for c in cuts],
                 "n_spans": [c[2] for c in cuts], "kept_sha256": [hashlib.sha256(c[0]).hexdigest() for c in cuts]}
 
-    out = map_batches(keyed.join(_runs(keyed), "doc_id", "left"), run,
+    out = map_batches(keyed.join(_runs(keyed, repeated), KEY, "left"), run,
                       "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
 
@@ -500,9 +517,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A cut may fall inside a code point of several bytes; bytes that no longer
     form one are dropped with it.
     """
-    runs = _runs(_keyed(docs)).withColumnRenamed("doc_id", "_key")
+    keyed, repeated = _keyed(docs)
+    runs = _runs(keyed, repeated).toDF("_key", "_version", "runs")
     rows = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    rows = rows.join(runs, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("_key"), "left").drop("_key")
+    same = (F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("_key")) & (_version(repeated) == F.col("_version"))
+    rows = rows.join(runs, same, "left").drop("_key", "_version")
     schema = docs.schema
 
     def run(batches):

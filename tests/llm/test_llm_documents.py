@@ -142,6 +142,28 @@ def test_suffix_dedup_matches_brute_force(spark, awkward, small, monkeypatch):
             assert r.row == 1 and r.label == 5
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_suffix_dedup_keeps_a_copy_of_repeated_rows(spark, awkward, small, monkeypatch):
+    if small:
+        for name, value in (("PART_ROWS", 3), ("HOT", 2), ("SHARD", 3000), ("SAMPLE_ONE_IN", 2)):
+            monkeypatch.setattr(suffix_dedup, name, value)
+    rnd = random.Random(11)
+    alone, other, none = ("".join(rnd.choice("abcdefgh ") for _ in range(700)) for _ in range(3))
+    # equal rows (also of a null id), an edge shared with them, and one id with two texts
+    rows = awkward + [(300, alone)] * 3 + [(None, none)] * 2 + [(301, "x" + alone[200:500] + "y")]
+    pair = [other + " one end of it", "another begin " + other]
+    rows += [(302, t) for t in pair]
+    got = {}
+    for r in suffix_dedup.without_repeats(table(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append(r.text)
+    assert got[300] == [alone] * 3 and got[301] == ["xy"]
+    assert got[None].count(none) == 2
+    kept = [[pair[0], "another begin "], [" one end of it", pair[1]]]
+    assert sorted(got[302]) in [sorted(k) for k in kept]
+    cut = suffix_dedup.cut_texts(table(spark, rows)).where("doc_id in (300, 301)").collect()
+    assert sorted((r.doc_id, r.n_removed, r.n_spans) for r in cut) == [(300, 0, 0)] * 3 + [(301, 300, 1)]
+
+
 def test_suffix_order_and_prefixes():
     data = np.frombuffer(b"mississippi\0mississippi" * 3, np.uint8)
     raw = data.tobytes()
