@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor
 kept. All but the last return the columns of ``documents`` (doc_id, text, lang,
-source, n_chars); the last returns the pieces of the packed sequences. Between
+source, n_chars); the last returns the pieces of the packed sequences with their
+ids (``packing.sequences`` joins them to whole sequences). Between
 stages the rows are written to the shared folder and read again.
 
 1. toxicity: documents predicted toxic go.
@@ -52,8 +53,8 @@ def redact_secrets(spark, docs, sf_dir):
 
 
 def pack(spark, docs, sf_dir):
-    """One row per piece of a document in its sequence."""
-    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """One row per piece of a document in its sequence, with its ids."""
+    return packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

@@ -13,9 +13,11 @@ its own:
    pieces are cut, at multiples of ``BLOCK`` ids, to fill the gaps of the
    others.
 
-Ids never move. Each text is encoded once; what is shuffled per document is its
-number of ids, a checksum per whole sequence and one per block of the rest,
-from which the checksum of any cut follows (CRC-32 is linear).
+Each text is encoded once and its ids are written to the shared folder. Groups
+are packed from the documents' numbers of ids alone, so a group's memory does not
+grow with its texts; the places then join the ids by row. ``pieces`` holds the ids
+of every piece with its place, ``sequences`` the packed sequences themselves, and
+``packed`` the pieces with a checksum in place of the ids.
 
 Ids are those of the ``tokenizers`` library for the given file; the encoder is
 built from the same file's vocabulary and pattern. The path is a parameter and
@@ -67,25 +69,23 @@ def encode(path: str, text: str) -> np.ndarray:
     return np.array(encoder(path).encode(text, allowed_special="all"), np.uint32)
 
 
-def lengths(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
-    """``row, doc_id, doc_tokens, whole, blocks``: checksums of the whole
-    sequences at a document's front and of the blocks of what is left."""
+def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
+    """``row, doc_id, doc_tokens, ids`` of every document, the end id included."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        tokens, whole, blocks = [], [], []
-        step, unit = 4 * size, 4 * BLOCK
-        for text in batch.column("text").to_pylist():
-            raw = np.append(encode(path, text), np.uint32(end_id)).astype("<u4").tobytes()
-            cut = len(raw) // step * step
-            tokens.append(len(raw) // 4)
-            whole.append([zlib.crc32(raw[i:i + step]) for i in range(0, cut, step)])
-            blocks.append([zlib.crc32(raw[i:i + unit]) for i in range(cut, len(raw), unit)])
-        return {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "doc_tokens": tokens,
-                "whole": whole, "blocks": blocks}
+        ids = [np.append(encode(path, text), np.uint32(end_id)) for text in batch.column("text").to_pylist()]
+        counts = [len(i) for i in ids]
+        return {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "doc_tokens": counts,
+                "ids": _lists(np.concatenate(ids), counts)}
 
     rows = text_rows(docs).withColumn("row", F.monotonically_increasing_id())
-    return map_batches(
-        rows, run, "row long, doc_id long, doc_tokens long, whole array<long>, blocks array<long>")
+    return map_batches(rows, run, "row long, doc_id long, doc_tokens long, ids array<int>")
+
+
+def _lists(values: np.ndarray, counts) -> pa.Array:
+    """Adjoining lists of ``counts`` values."""
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
 class Tournament:
@@ -157,24 +157,14 @@ def fill_gaps(bins: list[list[tuple[int, int, int]]], size: int) -> list[list[tu
     return [b for b in bins if b]
 
 
-def combined(crcs: list[int], counts: list[int]) -> int:
-    """The checksum of adjoining blocks of ``counts`` ids from their own."""
-    total = 0
-    for crc, n in zip(crcs, counts, strict=True):
-        zeros = bytes(4 * n)
-        total = zlib.crc32(zeros, total) ^ zlib.crc32(zeros) ^ crc
-    return total
-
-
 def pack_group(rows: pd.DataFrame, size: int) -> pd.DataFrame:
-    """All pieces of one group with their sequence (from 0) and offset."""
+    """The places of all pieces of one group ``row, doc_tokens``: their sequence (from 0) and offset."""
     rows = rows.sort_values("row", kind="stable")
-    rests = (rows["doc_tokens"] % size).tolist()
-    ids, total = rows["doc_id"].tolist(), rows["doc_tokens"].tolist()
-    blocks, out, sequence = rows["blocks"].tolist(), [], 0
-    for i, whole in enumerate(rows["whole"]):
-        for k, crc in enumerate(whole):
-            out.append((ids[i], k * size, size, int(crc), total[i], sequence, 0))
+    row, total = rows["row"].tolist(), rows["doc_tokens"].tolist()
+    rests, out, sequence = [n % size for n in total], [], 0
+    for i, n in enumerate(total):
+        for k in range(n // size):
+            out.append((row[i], k * size, size, sequence, 0))
             sequence += 1
     open_docs = [i for i, n in enumerate(rests) if n]
     bins = first_fit_decreasing([rests[i] for i in open_docs], size)
@@ -182,29 +172,65 @@ def pack_group(rows: pd.DataFrame, size: int) -> pd.DataFrame:
     for b in bins:
         offset = 0
         for i, start, length in b:
-            first, last = start // BLOCK, (start + length + BLOCK - 1) // BLOCK
-            counts = [min(BLOCK, rests[i] - BLOCK * j) for j in range(first, last)]
-            crc = combined([int(c) for c in blocks[i][first:last]], counts)
-            out.append((ids[i], total[i] - rests[i] + start, length, crc, total[i], sequence, offset))
+            out.append((row[i], total[i] - rests[i] + start, length, sequence, offset))
             offset += length
         sequence += 1
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    result = pd.DataFrame(out, columns=names)
-    return result.assign(doc_id=result["doc_id"].astype("Int64"))
+    return pd.DataFrame(out, columns=["row", "start", "length", "sequence_id", "offset"])
 
 
-def packed(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID,
+def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID,
            group_docs: int = GROUP_DOCS) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
-    rows = materialize(lengths(docs, path, size, end_id), "pack-lengths")
+    """One row per piece, with its ids: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``."""
+    rows = materialize(encoded(docs, path, end_id), "pack-ids")
     groups = max(1, round(rows.count() / group_docs))
-    schema = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-              "sequence_id long, offset long")
 
-    def run(key, part: pd.DataFrame) -> pd.DataFrame:
+    def pack(key, part: pd.DataFrame) -> pd.DataFrame:
         result = pack_group(part, size)
         result["sequence_id"] += int(key[0]) << 32
         return result
 
-    keyed = rows.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
-    return keyed.groupBy("group").applyInPandas(run, schema)
+    keyed = rows.select("row", "doc_tokens", F.pmod(F.xxhash64("row"), F.lit(groups)).alias("group"))
+    places = keyed.groupBy("group").applyInPandas(
+        pack, "row long, start long, length long, sequence_id long, offset long")
+    held = places.groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("start", "length", "sequence_id", "offset"))).alias("places"))
+
+    def cut(batch: pa.RecordBatch) -> dict:
+        # sorted by start, a document's pieces adjoin and hold all its ids: its list is the pieces' lists
+        lists, found = batch.column("ids"), batch.column("places")
+        flat, lane = found.flatten(), np.repeat(np.arange(batch.num_rows), np.diff(found.offsets.to_numpy()))
+        length = flat.field("length").to_numpy()
+        return {"doc_id": batch.column("doc_id").take(pa.array(lane)), "start": flat.field("start"), "length": length,
+                "ids": _lists(lists.flatten().to_numpy(), length),
+                "doc_tokens": batch.column("doc_tokens").take(pa.array(lane)),
+                "sequence_id": flat.field("sequence_id"), "offset": flat.field("offset")}
+
+    return map_batches(rows.join(held, "row"), cut, "doc_id long, start long, length long, ids array<int>, "
+                       "doc_tokens long, sequence_id long, offset long")
+
+
+def sequences(cut: DataFrame) -> DataFrame:
+    """``sequence_id, n_ids, ids`` of the sequences that ``pieces`` make up."""
+    held = cut.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("held"))
+    ids = F.flatten(F.col("held.ids"))
+    return held.select("sequence_id", F.size(ids).cast("long").alias("n_ids"), ids.alias("ids"))
+
+
+def packed(docs: DataFrame, path: str, size: int = SIZE, end_id: int = END_ID,
+           group_docs: int = GROUP_DOCS) -> DataFrame:
+    """The pieces with a checksum of their ids: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
+    return checksums(pieces(docs, path, size, end_id, group_docs))
+
+
+def checksums(cut: DataFrame) -> DataFrame:
+    """``ids_crc32`` of the little-endian ids in place of ``ids``."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        lists = batch.column("ids")
+        raw = lists.flatten().to_numpy().astype("<u4").tobytes()
+        ends = 4 * np.cumsum(batch.column("length").to_numpy())
+        crcs = [zlib.crc32(raw[b - 4 * n:b]) for b, n in zip(ends.tolist(), batch.column("length").to_pylist(), strict=True)]
+        return {c: batch.column(c) for c in batch.schema.names if c != "ids"} | {"ids_crc32": crcs}
+
+    return map_batches(cut, run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+                       "sequence_id long, offset long")

@@ -290,6 +290,31 @@ def test_packing_holds_every_id_once(spark, awkward):
     assert max(fill.values()) <= 2048
 
 
+def test_packed_sequences_hold_the_ids_of_the_texts(spark, awkward):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(i, t) for i, (_, t) in enumerate(awkward)]
+    ids = {d: [*packing.encode(path, t or "").tolist(), 1] for d, t in rows}
+    cut = packing.materialize(packing.pieces(table(spark, rows), path, group_docs=30), "t")
+    pieces = cut.collect()
+    assert len(pieces) > len({r.doc_id for r in pieces}) == len(ids)
+    assert all(r.ids == ids[r.doc_id][r.start:r.start + r.length] for r in pieces)
+    assert sum(r.length for r in pieces) == sum(map(len, ids.values()))
+    got = {r.sequence_id: r for r in packing.sequences(cut).collect()}
+    expected = {}
+    for r in sorted(pieces, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == len(expected.setdefault(r.sequence_id, []))
+        expected[r.sequence_id] += r.ids
+    assert {s: r.ids for s, r in got.items()} == expected
+    assert all(r.n_ids == len(r.ids) <= 2048 for r in got.values())
+
+
+def test_pipeline_ends_in_ids(spark, texts):
+    import corpus_pipeline as cp
+
+    got = cp.pack(spark, table(spark, texts[:20]), SF).collect()
+    assert {r.doc_id for r in got} == {d for d, _ in texts[:20]} and all(len(r.ids) == r.length > 0 for r in got)
+
+
 def test_packed_sequences_have_little_padding():
     rnd = random.Random(2)
     lengths = [rnd.randrange(1, 2048) for _ in range(3000)]
