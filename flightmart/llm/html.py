@@ -13,13 +13,16 @@ Content blocks are chosen in four steps:
    lists and titles of boxes score low;
 4. paths whose blocks score above the page's threshold (a share of the score's
    deviation) are content. Headings, lists, quotations and cells that share a
-   content path's container are content as well, as they belong to its article.
+   content path's container are content as well, as they belong to its article;
+   of an article or main element, whatever else shares the container. A path
+   most of whose text is links is a list of links and no such company.
 
 Before that, what is never main text is left out whatever its score: elements
-such as nav, footer, aside, form, script and style, page headers, hidden
-elements, and elements whose class, id or role names a menu, notice, advert, or
-reader comments. Within an article or main element all remaining blocks are its
-text, so short paragraphs are not lost.
+such as nav, footer, aside, form, script and style, page headers, and hidden
+elements. Other hints weigh on the scores only: blocks in an article or main element
+count ARTICLE times, and those in an element whose class, id or role names a menu,
+notice, advert, or reader comments (paths of their own) count MARKED times and must
+also reach a share of the page's mean score.
 
 Edge cases: null html = empty html: empty text. A page without content blocks
 gives an empty text. Repeated rows give equal texts; null ids and urls pass;
@@ -72,39 +75,44 @@ _PUNCTUATION = re.compile(r"[.,;:!?、。，！？…]")
 SIGMA = 1.0
 THRESHOLD = 0.5
 PLAIN = 0.1  # what a path without any punctuation counts for
+ARTICLE = 2.0
+MARKED = 0.1
 
 
 class Block:
-    __slots__ = ("links", "path", "text", "within")
+    __slots__ = ("key", "links", "path", "text", "within")
 
-    def __init__(self, path: tuple, text: str, links: int, within: bool):
+    def __init__(self, path: tuple, text: str, links: int, within: bool, marked: bool):
         self.path, self.text, self.links, self.within = path, text, links, within
+        self.key = (path, marked)
 
 
-def _away(name: str, attributes: str, path: list) -> bool:
+def _away(name: str, attributes: str, path: list) -> tuple[bool, bool]:
+    """Whether an element is left out, and whether its names mark it."""
     if name in SKIP:
-        return True
+        return True, False
     if name == "header" and not any(p in ("article", "main") for p in path):
-        return True
+        return True, False
+    marked = False
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             key = key.lower()
             if key in ("hidden",) or (key == "aria-hidden" and value.strip("\"'").lower() == "true"):
-                return True
+                return True, False
             if key in ("class", "id", "role") and name not in ("html", "body"):
                 words = AWAY_ARTICLE if name in ("article", "main") else AWAY
                 if words.search(value.strip("\"'")):
-                    return True
+                    marked = True
             if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-                return True
-    return False
+                return True, False
+    return False, marked
 
 
 def blocks_of(html: str) -> list[Block]:
     """The page's text blocks outside of what is never main text."""
     out: list[Block] = []
-    stack: list[tuple[str, bool]] = []  # open elements; whether each is left out
-    gone = links = depth_a = 0
+    stack: list[tuple[str, bool, bool]] = []  # open elements; whether each is left out or marked
+    gone = links = depth_a = marks = 0
     buffer: list[str] = []
     position, n = 0, len(html)
 
@@ -113,8 +121,8 @@ def blocks_of(html: str) -> list[Block]:
         if buffer:
             text = _SPACE.sub(" ", "".join(buffer)).strip()
             if text:
-                path = tuple(t for t, _ in stack if t in BLOCKS)
-                out.append(Block(path, text, links, any(t in ("article", "main") for t in path)))
+                path = tuple(t for t, _, _ in stack if t in BLOCKS)
+                out.append(Block(path, text, links, any(t in ("article", "main") for t in path), marks > 0))
             buffer.clear()
         links = 0
 
@@ -127,12 +135,13 @@ def blocks_of(html: str) -> list[Block]:
                 links += len(text.strip())
 
     def pop_to(index: int) -> None:
-        nonlocal gone, depth_a
+        nonlocal gone, depth_a, marks
         while len(stack) > index:
-            if stack[-1][0] in BLOCKS:
+            if stack[-1][0] in BLOCKS or stack[-1][2]:
                 flush()
-            name, left_out = stack.pop()
+            name, left_out, marked = stack.pop()
             gone -= left_out
+            marks -= marked
             depth_a -= name == "a"
 
     while position < n:
@@ -150,11 +159,14 @@ def blocks_of(html: str) -> list[Block]:
         name = name.lower()
         if match.group(1):
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if at is not None and (name in BLOCKS or not any(t in BLOCKS for t, _ in stack[at + 1:])):
+            if at is not None and (name in BLOCKS or not any(t in BLOCKS for t, _, _ in stack[at + 1:])):
                 pop_to(at)
             elif at is not None:  # an inline end tag beyond a block: only the element itself goes
-                _, left_out = stack.pop(at)
+                if stack[at][2]:
+                    flush()
+                _, left_out, marked = stack.pop(at)
                 gone -= left_out
+                marks -= marked
                 depth_a -= name == "a"
             continue
         attributes = match.group(3)
@@ -171,7 +183,7 @@ def blocks_of(html: str) -> list[Block]:
             add(" ")
         if name in VOID or attributes.rstrip().endswith("/"):
             continue
-        left_out = _away(name, attributes, [t for t, _ in stack])
+        left_out, marked = _away(name, attributes, [t for t, _, _ in stack])
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, position)
             if end is None:
@@ -181,8 +193,11 @@ def blocks_of(html: str) -> list[Block]:
             close = html.find(">", end.end())
             position = n if close < 0 else close + 1
             continue
-        stack.append((name, left_out))
+        if marked and name not in BLOCKS and not gone:
+            flush()  # a marked span is a block of its own
+        stack.append((name, left_out, marked))
         gone += left_out
+        marks += marked
         depth_a += name == "a"
     pop_to(0)
     flush()
@@ -202,32 +217,32 @@ def content(blocks: list[Block]) -> list[Block]:
     if not blocks:
         return []
     length, marks, count = defaultdict(float), defaultdict(float), defaultdict(int)
+    total, linked = defaultdict(int), defaultdict(int)
     for b in blocks:
-        length[b.path] += max(0, len(b.text) - 2 * b.links)
-        marks[b.path] += len(_PUNCTUATION.findall(b.text))
-        count[b.path] += 1
-    ratio = smoothed(np.array([length[b.path] / count[b.path] for b in blocks]))
-    punctuation = smoothed(np.array([marks[b.path] / count[b.path] for b in blocks]))
-    fused = ratio * (PLAIN + np.log1p(punctuation))
+        length[b.key] += max(0, len(b.text) - 2 * b.links)
+        marks[b.key] += len(_PUNCTUATION.findall(b.text))
+        count[b.key] += 1
+        total[b.key] += len(b.text)
+        linked[b.key] += b.links
+    ratio = smoothed(np.array([length[b.key] / count[b.key] for b in blocks]))
+    punctuation = smoothed(np.array([marks[b.key] / count[b.key] for b in blocks]))
+    weight = np.array([(ARTICLE if b.within else 1) * (MARKED if b.key[1] else 1) for b in blocks])
+    fused = ratio * (PLAIN + np.log1p(punctuation)) * weight
     limit = THRESHOLD * fused.std()
-    by_path = defaultdict(list)
+    limits = (limit, max(limit, THRESHOLD * fused.mean()))
+    best = defaultdict(float)
     for b, score in zip(blocks, fused.tolist(), strict=True):
-        by_path[b.path].append(score)
-    paths = {p for p, scores in by_path.items() if max(scores) >= limit and max(scores) > 0 and length[p] > 0}
-    within = any(b.within for b in blocks)
-    if within:
-        paths = {p for p in paths if "article" in p or "main" in p} or paths
-    containers = {p[:-1] for p in paths}
+        best[b.key] = max(best[b.key], score)
+    passed = {k for k, score in best.items() if score >= limits[k[1]] and score > 0 and length[k] > 0}
+    containers = {(path[:-1], marked) for path, marked in passed}
 
     def chosen(b: Block) -> bool:
-        if within and not b.within:
-            return False
-        if b.within and "article" in b.path:
-            return 2 * b.links <= len(b.text) or b.path in paths
-        if b.path in paths:
+        if b.key in passed:
             return True
-        return bool(b.path) and b.path[-1] in CONTENT_LEAVES and 2 * b.links <= len(b.text) and any(
-            b.path[:i] in containers for i in range(len(b.path) - 1, 0, -1))
+        path, marked = b.key
+        if not path or 2 * linked[b.key] > total[b.key] or not (b.within or path[-1] in CONTENT_LEAVES):
+            return False
+        return any((path[:i], marked) in containers for i in range(len(path) - 1, 0, -1))
 
     return [b for b in blocks if chosen(b)]
 

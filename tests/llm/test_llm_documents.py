@@ -473,6 +473,27 @@ def test_main_text_of_a_page(spark):
     assert [r.text for r in got if r.page_id in (2, 3)] == ["", "", ""]
 
 
+def test_path_scores_decide_beside_articles_and_names():
+    said = [f"Sentence {i} of the story, which goes on; it has commas, and ends here. " * 3 for i in range(6)]
+    told = "".join(f"<p>{t}</p>" for t in said)
+    said = [t.strip() for t in said]
+    card = "<article><p>A card</p></article>"
+    got = html.main_text(f"<body>{card}<div id=story>{told}</div></body>").split("\n")
+    assert [t for t in got if t != "A card"] == said  # not only the card
+    # a layout's class name on all of the text
+    assert html.main_text(f"<body><div class='sidebar right'>{told}</div><p>Tail</p></body>").split("\n")[:6] == said
+    # link-heavy items and paragraphs among an article's others
+    items = "<ul><li>One item of words, no link.</li><li><a href=x>A linked item</a></li><li>Another, of words.</li></ul>"
+    page = f"<body><article>{told}<p><a href=y>A linked paragraph</a></p>{items}</article></body>"
+    assert html.main_text(page).split("\n") == [
+        *said, "A linked paragraph", "One item of words, no link.", "A linked item", "Another, of words."]
+    # names still weigh: comments and adverts of the same length lose
+    for name in ("comments", "ad"):
+        for n in (1, 6):
+            more = "".join(f"<p>Reader {i} says this, and that; and more of it, all the same. Really.</p>" for i in range(n))
+            assert html.main_text(f"<body><article>{told}<section class={name}>{more}</section></article></body>").split("\n") == said
+
+
 def test_pages_of_the_table():
     t = pq.read_table(f"{SF}/pages.parquet").to_pydict()
     from html import unescape
