@@ -16,10 +16,15 @@ are counted on the raw text; a document fails with fewer than 10 words, or if ov
 a fifth of its words lie in five-word windows that occur twice or more. Windows are
 compared by 64-bit hashes within one document.
 
+``cleaned`` gives every document's text without its boilerplate lines, the others
+rejoined as they stand; ``judged`` takes its counts from both texts.
+
 All counting per document is done on its own row. Lines are shuffled as hashes
-with their word counts, pre-aggregated per task; boilerplate lines return to the
-documents through a join salted on the document, so a line that a third of
-all documents share is spread over SALTS tasks.
+with their places, once per different text of a host, pre-aggregated per task;
+boilerplate lines find their texts through a join salted on the text, so a line
+that a third of all documents share is spread over SALTS tasks, and the places to
+be removed reach the documents through a join salted on the row, so that copies of
+one text are spread as well.
 
 Edge cases: null text = empty text: no words, fails the base rules. Null sources
 form one host. Rows of null or repeated doc_id are judged each on their own.
@@ -70,57 +75,75 @@ def _repeats(df: DataFrame) -> DataFrame:
     return df.select(*keep, F.when(F.size("p") > 0, covered).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, host, content``, the base counts, and ``lines``: hash and words of each line."""
+def _rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, host, text, content``; ``content`` is a hash of the text."""
     prepare(docs.sparkSession)
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").cast("string").alias("host"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.select("*", F.xxhash64("text").alias("content"), _words("text").alias("words"),
-                       F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)).alias("raw"))
-    rows = rows.select(
-        "row", "doc_id", "host", "content", "words", F.size("words").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
-        (F.size("raw") - F.size(F.array_distinct("raw"))).cast("long").alias("n_dup_lines"),
-        F.transform("raw", lambda x: _words(x)).alias("line_words"))
-    rows = rows.withColumn("lines", F.transform("line_words", lambda w: F.struct(
-        F.xxhash64(F.translate(F.array_join(w, " "), string.ascii_uppercase, string.ascii_lowercase)).alias("line"),
-        F.size(w).alias("words")))).drop("line_words")
-    rows = _repeats(rows)
-    share, whole = REPEAT_SHARE
-    failed = (F.col("n_words") < MIN_WORDS) | (whole * F.col("n_repeat_words") > share * F.col("n_words"))
-    return rows.withColumn("base_failed", failed)
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("host"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.withColumn("content", F.xxhash64("text"))
+
+
+def lined(rows: DataFrame) -> DataFrame:
+    """``host, content`` of each different text, and ``lines``: hash and place of each line with a word."""
+    raw = F.filter(F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(x.alias("x"), i.alias("place"))),
+                   lambda r: r["x"].rlike(WORD))
+    lines = F.transform(raw, lambda r: F.struct(
+        F.xxhash64(F.translate(F.array_join(_words(r["x"]), " "), string.ascii_uppercase, string.ascii_lowercase)).alias("line"),
+        r["place"].alias("place")))
+    return rows.select("host", "content", lines.alias("lines")).groupBy("host", "content").agg(
+        F.first("lines").alias("lines"))
 
 
-def boilerplate(rows: DataFrame) -> DataFrame:
+def boilerplate(texts: DataFrame) -> DataFrame:
     """``host, line`` of lines in too many different documents of their host."""
-    texts = rows.groupBy("host", "content").agg(F.first("lines.line").alias("lines"))
-    texts = materialize(texts, "quality-texts")
     hosts = texts.groupBy("host").agg(F.count("*").alias("documents"))
-    lines = texts.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(
+    lines = texts.select("host", F.explode(F.array_distinct("lines.line")).alias("line")).groupBy("host", "line").agg(
         F.count("*").alias("held")).where(F.col("held") > LINE_DOCS)
     many = lines.join(hosts, lines["host"].eqNullSafe(hosts["host"])).where(
         F.col("held") > F.col("documents") * LINE_SHARE)
     return many.select(lines["host"], "line")
 
 
+def cleaned(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, clean_text`` for every row: the text, and what is left of it without its boilerplate lines."""
+    rows = _rows(docs)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    texts = materialize(lined(rows), "quality-texts")
+    marked = materialize(boilerplate(texts).select(F.xxhash64("host", "line").alias("mark"), salts), "quality-lines")
+    lines = texts.select("host", "content", F.explode("lines").alias("x")).select(
+        F.xxhash64("host", "content").alias("key"), F.xxhash64("host", "x.line").alias("mark"), F.col("x.place").alias("place"),
+        F.pmod("content", F.lit(SALTS)).cast("int").alias("salt"))
+    gone = lines.join(marked, ["mark", "salt"], "left_semi").groupBy("key").agg(F.collect_list("place").alias("gone"))
+    gone = materialize(gone, "quality-gone").select("key", "gone", salts)
+    rows = rows.select("doc_id", "text", F.xxhash64("host", "content").alias("key"),
+                       F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"))
+    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    # the same join at every size: a broadcast would grow with the number of cut texts
+    return rows.join(gone.hint("merge"), ["key", "salt"], "left").select(
+        "doc_id", "text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("clean_text"))
+
+
 def judged(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_left_words``."""
-    rows = materialize(measured(docs), "quality-rows")
-    marked = boilerplate(rows).select(
-        F.xxhash64("host", "line").alias("mark"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    marked = materialize(marked, "quality-lines")
-    lines = rows.select("row", "host", F.explode("lines").alias("x")).select(
-        "row", F.xxhash64("host", "x.line").alias("mark"), F.col("x.words").alias("words"),
-        F.pmod("row", F.lit(SALTS)).cast("int").alias("salt"))
-    gone = lines.join(marked, ["mark", "salt"], "left_semi").groupBy("row").agg(F.sum("words").alias("gone"))
-    out = rows.drop("lines").join(gone, "row", "left")
-    left = F.col("n_words") - F.coalesce("gone", F.lit(0))
+    rows = cleaned(docs).select(
+        "*", _words("text").alias("words"), F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)).alias("raw"))
+    rows = rows.select(
+        "doc_id", "words", F.size("words").cast("long").alias("n_words"),
+        F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+        (F.size("raw") - F.size(F.array_distinct("raw"))).cast("long").alias("n_dup_lines"),
+        # most texts lose no line: only others are counted again
+        F.when(F.col("clean_text") == F.col("text"), F.size("words")).otherwise(
+            F.size(_words("clean_text"))).cast("long").alias("n_left_words"))
+    share, whole = REPEAT_SHARE
+    failed = (F.col("n_words") < MIN_WORDS) | (whole * F.col("n_repeat_words") > share * F.col("n_words"))
+    out = _repeats(rows).withColumn("base_failed", failed)
+    left = F.col("n_left_words")
     depleted = (left < LEFT_WORDS) | (left < F.col("n_words") * LEFT_SHARE)
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~depleted).alias("kept"), left.alias("n_left_words"))
+        (~F.col("base_failed") & ~depleted).alias("kept"), "n_left_words")
 
 
 # DuckDB SQL for ``judged`` over the table documents

@@ -356,6 +356,20 @@ def test_quality_matches_sql(spark, awkward, tmp_path, monkeypatch):
     assert not {r.doc_id: r.kept for r in out.collect()}[300]
 
 
+def test_quality_cleans_texts_of_boilerplate_lines(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LINE_DOCS", 3)
+    rows = [(i, f"shared  Line\n\n{'good words ' * 6}number {i}\nSHARED line \nend") for i in range(9)]
+    rows += [(20, rows[0][1]), (21, rows[0][1]), (22, "of its own\n"), (23, None), (24, "Shared Line")]
+    want = {i: f"\n{'good words ' * 6}number {i}" for i in range(9)}
+    want |= {20: want[0], 21: want[0], 22: "of its own\n", 23: "", 24: ""}
+    got = quality.cleaned(table(spark, rows)).collect()
+    assert len(got) == len(rows)
+    # "end" is held by all nine texts as well
+    assert {r.doc_id: r.clean_text for r in got} == want
+    left = {r.doc_id: r.n_left_words for r in quality.judged(table(spark, rows)).collect()}
+    assert left == {d: len(t.split()) for d, t in want.items()}
+
+
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
