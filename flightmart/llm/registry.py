@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from flightmart.llm import bpe, html, language, near_dedup, packing, quality, secrets, suffix_dedup, toxicity, winnowing
+from flightmart.llm import (
+    bpe, fim, html, language, near_dedup, packing, pivots, quality, secrets, seed_dedup, suffix_dedup, toxicity, winnowing,
+)
 from flightmart.llm.common import table
 
 
@@ -48,6 +50,18 @@ def op10_secrets(spark, sf_dir):
     return secrets.scanned(table(spark, sf_dir, "documents"))
 
 
+def op11_pivot_clusters(spark, sf_dir):
+    return pivots.digests(table(spark, sf_dir, "embeddings"))
+
+
+def op12_seed_dedup(spark, sf_dir):
+    return seed_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_winnowing": op2_winnowing,
@@ -59,10 +73,16 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op11_pivot_clusters": op11_pivot_clusters,
+    "op12_seed_dedup": op12_seed_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLES = {
     "op3_near_dedup": near_dedup.ORACLE,
     "op6_suffix_dedup": suffix_dedup.ORACLE,
     "op9_quality": quality.ORACLE,
+    "op11_pivot_clusters": pivots.ORACLE,
+    "op12_seed_dedup": seed_dedup.ORACLE,
+    "op13_fill_in_middle": fim.ORACLE,
 }
