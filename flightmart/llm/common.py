@@ -47,6 +47,20 @@ def text_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``materialize`` that also removes the write's own shuffle files when it is done.
+
+    The table takes their place, so a chain of steps holds one step's shuffle at a time.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        conf.set(name, before)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dict | None], schema: str) -> DataFrame:
     """``fn`` over every Arrow batch; it returns the output columns as a dict."""
     target = arrow_schema(schema)

@@ -9,7 +9,7 @@ input; windows that overlap or touch each other count all the same.
    leftmost of equals. Which one depends on the window's words alone, so equal windows have
    the same anchor at the same place, and about one word in seven begins an anchor.
 2. Join. Anchors that occur once are dropped; a hot anchor is pre-aggregated by each task and its
-   rows are dealt over ``SALTS`` tasks when they are joined back.
+   rows are dealt over ``SALTS`` tasks when they are joined back (:func:`join_groups`).
 3. Extend. A match through an anchor can reach ``REACH`` words to both sides before another
    anchor takes over. Occurrences equal over that whole reach (one hash of all its words and their
    number, compared within one anchor) extend each other fully: all but the earliest are matched
@@ -20,12 +20,13 @@ input; windows that overlap or touch each other count all the same.
 5. Matches of one document with the same earlier document at the same distance that overlap or
    touch are one maximal repeat (:func:`repeats`). The words of all repeats are cut.
 
-Two matched passages agree in two 64-bit hashes, the anchor's and that of the extension.
+Two matched passages agree in two 64-bit hashes, the anchor's and that of the extension. Each step is
+written, and its shuffle files go with it.
 
 Edge cases: null text = empty text: no words. A text of fewer than WINDOW words keeps all. A null
 ``doc_id`` is later than all others. Rows that repeat a ``doc_id`` and its text are one document,
 and all keep the same words; rows of one ``doc_id`` with other texts are each held against all,
-where "earlier" goes by doc_id, then position. One word repeated a million times is one anchor
+where "earlier" goes by doc_id, then position (28 bits of a hash tell such texts apart). One word repeated a million times is one anchor
 with many positions: still a row per word. A very long text is one Arrow row of its own, and its
 matches (at most a few per anchor) meet it again in one task; no other group is ever gathered. An empty
 table gives an empty table. Only ``doc_id`` and ``text`` are read, so other columns may have any name.
@@ -38,13 +39,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightmart.llm.common import U, map_batches, materialize, mix, text_rows, utf8, word_hashes, word_spans
+from flightmart.llm.common import U, map_batches, mix, text_rows, utf8, word_hashes, word_spans, written
 from flightmart.llm.fim import strings
 
 WINDOW = 20
 SEED_WORDS = 8
 REACH = WINDOW - SEED_WORDS
 SALTS = 16
+HOT, HOT_LEAST = 4096, 64
+TAG_BITS = 28
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -102,7 +105,7 @@ def reach(words: Words, at: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, n
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
-    """``id, content, pos, anchor, context, left, right`` of every anchor."""
+    """``id, place, anchor, context`` of every anchor; see :func:`_place`."""
 
     def run(batch: pa.RecordBatch) -> dict:
         words = Words(batch.column("text"))
@@ -112,17 +115,24 @@ def occurrences(rows: DataFrame) -> DataFrame:
         context = mix(words.run(at - left, at + SEED_WORDS + right) + (left * (REACH + 1) + right).astype(U))
         where = pa.array(text)
         return {
-            "id": batch.column("id").take(where), "content": batch.column("content").take(where),
-            "pos": (at - words.lo[text]).astype(np.int32), "anchor": words.run(at, at + SEED_WORDS).view(np.int64),
-            "context": context.view(np.int64), "left": left.astype(np.int8), "right": right.astype(np.int8),
+            "id": batch.column("id").take(where),
+            "place": _place(at - words.lo[text], np.asarray(batch.column("tag"))[text], right),
+            "anchor": words.run(at, at + SEED_WORDS).view(np.int64), "context": context.view(np.int64),
         }
 
-    return map_batches(rows, run,
-                       "id long, content long, pos int, anchor long, context long, left tinyint, right tinyint")
+    return map_batches(rows, run, "id long, place long, anchor long, context long")
+
+
+def _place(pos: np.ndarray, tag: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A position, its text's tag and the reach to the right in one word that sorts by position."""
+    return (pos.astype(np.int64) << 32) | (tag << 4) | right
+
+
+POS, TAG, RIGHT = "shiftright(place, 32)", f"(shiftright(place, 4) & {(1 << TAG_BITS) - 1}L)", "(place & 15L)"
 
 
 def shared_windows(rows: DataFrame) -> DataFrame:
-    """``id, content, pos, anchor, window`` of every window through the anchors at ``at`` of a text."""
+    """``id, place, anchor, window`` of every window through the anchors at ``at`` of a text."""
 
     def run(batch: pa.RecordBatch) -> dict:
         words = Words(batch.column("text"))
@@ -138,64 +148,71 @@ def shared_windows(rows: DataFrame) -> DataFrame:
             start = at[ok] - before
             out.append((text[ok], start, anchor[ok], words.run(start, start + WINDOW)))
         text, start, anchor, window = (np.concatenate(c) for c in zip(*out, strict=True))
-        where = pa.array(text)
-        return {"id": batch.column("id").take(where), "content": batch.column("content").take(where),
-                "pos": (start - words.lo[text]).astype(np.int32), "anchor": anchor.view(np.int64),
-                "window": window.view(np.int64)}
-
-    return map_batches(rows, run, "id long, content long, pos int, anchor long, window long")
+        tag = np.asarray(batch.column("tag"))[text]
+        return {"id": batch.column("id").take(pa.array(text)),
+                "place": _place(start - words.lo[text], tag, np.zeros(len(start), np.int64)),
+                "anchor": anchor.view(np.int64), "window": window.view(np.int64)}
 
+    return map_batches(rows, run, "id long, place long, anchor long, window long")
 
-def _salted(table: DataFrame) -> DataFrame:
-    return table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], total: int) -> DataFrame:
+    """``rows`` joined with their group (a written table with its size ``n``), hot groups over SALTS tasks.
 
-def _salt():
-    return F.pmod(F.xxhash64("id", "pos"), F.lit(SALTS)).cast("int")
+    A group is hot beyond 1/HOT of all rows, so there are fewer than HOT of them: that list is broadcast.
+    """
+    hot = F.col("n") > max(total // HOT, HOT_LEAST)
+    known = F.broadcast(groups.where(hot).select(*on, F.lit(True).alias("hot")))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id", "place"), F.lit(SALTS)).cast("int")).otherwise(0)
+    dealt = rows.join(known, on, "left").withColumn("salt", salt).drop("hot")
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(groups.withColumn("salt", F.explode(salts)).drop("n"), [*on, "salt"]).drop("salt")
 
 
 def _later():
     """A place after the earliest one of its group (a repeated row's own place is not)."""
-    return (F.col("id") > F.col("first.id")) | ((F.col("id") == F.col("first.id")) & (F.col("pos") > F.col("first.pos")))
+    return (F.col("id") > F.col("first.id")) | (
+        (F.col("id") == F.col("first.id")) & (F.expr(POS) > F.shiftright("first.place", 32)))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     rows = text_rows(docs)
     return rows.select("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"),
-                       F.xxhash64("text").alias("content"), "text")
+                       F.xxhash64("text").bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("tag"), "text")
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """``id, content, start, end, from_id, from_start``: passages of a document (numbers of words) that
+    """``id, tag, start, end, from_id, from_start``: passages of a document (numbers of words) that
     start earlier too, at ``from_start`` of ``from_id``; every repeated window lies in one of them."""
-    rows = _keyed(docs)
-    found = materialize(occurrences(rows.select("id", "content", "text")), "sd-anchors")
-    repeated = found.groupBy("anchor").agg(
-        F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi")).where("n > 1")
-    repeated = _salted(repeated.select("anchor", (F.col("lo") != F.col("hi")).alias("open")))
-    seeds = materialize(found.withColumn("salt", _salt()).join(repeated, ["anchor", "salt"]).drop("salt"), "sd-seeds")
-
-    place = F.struct("id", "pos", "content")
-    kinds = seeds.groupBy("anchor", "context").agg(
-        F.min(place).alias("first"), F.count("*").alias("n"), F.first("open").alias("open"))
-    kinds = materialize(kinds, "sd-kinds")
-    copies = _salted(kinds.where("n > 1").select("anchor", "context", "first"))
-    full = seeds.withColumn("salt", _salt()).join(copies, ["anchor", "context", "salt"]).where(_later()).select(
-        "id", "content", (F.col("pos") - F.col("left")).alias("start"),
-        (F.col("pos") + SEED_WORDS + F.col("right")).alias("end"),
-        F.col("first.id").alias("from_id"), (F.col("first.pos") - F.col("left")).alias("from_start"))
-
-    at = kinds.where("open").groupBy(F.col("first.id").alias("id"), F.col("first.content").alias("content")).agg(
-        F.collect_set("first.pos").alias("at"))
-    texts = rows.select("id", "content", "text").join(at, ["id", "content"])
-    windows = materialize(shared_windows(texts), "sd-windows")
+    rows = _keyed(docs).select("id", "tag", "text")
+    found = written(occurrences(rows), "sd-anchors")
+    total = found.count()
+    repeated = written(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "sd-repeated")
+    seeds = written(join_groups(found, repeated, ["anchor"], total), "sd-seeds")
+
+    kinds = seeds.groupBy("anchor", "context").agg(F.min(F.struct("id", "place")).alias("first"), F.count("*").alias("n"))
+    kinds = written(kinds, "sd-kinds")
+    copies = kinds.where("n > 1")
+    left = F.least(F.expr(POS), F.lit(REACH))
+    full = join_groups(seeds, copies, ["anchor", "context"], total).where(_later()).select(
+        "id", F.expr(TAG).alias("tag"), (F.expr(POS) - left).alias("start"),
+        (F.expr(POS) + SEED_WORDS + F.expr(RIGHT)).alias("end"),
+        F.col("first.id").alias("from_id"), (F.shiftright("first.place", 32) - left).alias("from_start"))
+    full = written(full, "sd-full")
+
+    # kinds of anchors that have several: what their occurrences still share lies in single windows
+    several = kinds.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    firsts = kinds.select("anchor", "first.id", "first.place")
+    several = written(several, "sd-several")
+    at = join_groups(firsts, several, ["anchor"], total).groupBy("id", F.expr(TAG).alias("tag")).agg(
+        F.collect_set(F.expr(POS)).alias("at"))
+    windows = written(shared_windows(rows.join(written(at, "sd-at"), ["id", "tag"])), "sd-windows")
     earliest = windows.groupBy("anchor", "window").agg(
-        F.min(F.struct("id", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    partly = windows.withColumn("salt", _salt()).join(_salted(earliest), ["anchor", "window", "salt"]).where(
-        _later()).select(
-        "id", "content", F.col("pos").alias("start"), (F.col("pos") + WINDOW).alias("end"),
-        F.col("first.id").alias("from_id"), F.col("first.pos").alias("from_start"))
-    return materialize(full.unionByName(partly).distinct(), "sd-matches")
+        F.min(F.struct("id", "place")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    partly = join_groups(windows, written(earliest, "sd-earliest"), ["anchor", "window"], total).where(_later()).select(
+        "id", F.expr(TAG).alias("tag"), F.expr(POS).alias("start"), (F.expr(POS) + WINDOW).alias("end"),
+        F.col("first.id").alias("from_id"), F.shiftright("first.place", 32).alias("from_start"))
+    return full.unionByName(partly)
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -221,19 +238,19 @@ def _merged(spans: DataFrame) -> DataFrame:
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(row)) - 1 if len(row) else first
         where = pa.array(row[first])
-        return {"id": batch.column("id").take(where), "content": batch.column("content").take(where),
+        return {"id": batch.column("id").take(where), "tag": batch.column("tag").take(where),
                 "start": start[first], "end": end[last], "from_id": source[first], "from_start": start[first] + shift[first]}
 
-    return map_batches(spans, run, "id long, content long, start long, end long, from_id long, from_start long")
+    return map_batches(spans, run, "id long, tag long, start long, end long, from_id long, from_start long")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """Maximal repeats: ``id, content, start, end, from_id, from_start``, in words.
+    """Maximal repeats: ``id, tag, start, end, from_id, from_start``, in words.
 
-    ``content`` is the text's xxhash64, which tells rows of one doc_id apart; a null doc_id
-    shows as the largest long.
+    ``tag`` is a hash of the text, which tells rows of one doc_id apart; a null doc_id shows as the
+    largest long.
     """
-    spans = matches(docs).groupBy("id", "content").agg(
+    spans = matches(docs).distinct().groupBy("id", "tag").agg(
         F.collect_list(F.struct("start", "end", "from_id", "from_start")).alias("spans"))
     return _merged(spans)
 
@@ -241,8 +258,10 @@ def repeats(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept``, a row per row of ``docs``; ``kept`` holds the words that
     stay, joined by one space."""
-    spans = matches(docs).groupBy("id", "content").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    rows = _keyed(docs).join(spans, ["id", "content"], "left").select("doc_id", "text", "spans")
+    spans = matches(docs).select("id", "tag", "start", "end").distinct().groupBy("id", "tag").agg(
+        F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = written(spans, "sd-spans")
+    rows = _keyed(docs).join(spans, ["id", "tag"], "left").select("doc_id", "text", "spans")
 
     def run(batch: pa.RecordBatch) -> dict:
         words = Words(batch.column("text"))
