@@ -191,12 +191,13 @@ def digests(vectors: DataFrame) -> DataFrame:
     """The assignment with the distances summed over each cluster and over all, and the centroids' SHA-256."""
     rows, centroids = clustered(vectors)
     rows = materialize(rows, "laesa-assigned")
-    names = [(i, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for i, c in enumerate(centroids.tolist())]
-    known = vectors.sparkSession.createDataFrame(names, "cluster int, centroid_sha256 string")
-    sums = rows.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
-    whole = rows.agg(F.sum("distance").alias("inertia"))
-    about = sums.join(known, "cluster").crossJoin(F.broadcast(whole))    # one row beside at most 40
-    return rows.join(F.broadcast(about), "cluster").select(
+    sums = rows.groupBy("cluster").agg(F.sum("distance").alias("s")).collect()      # a row a centroid
+    whole = sum(r.s for r in sums)
+    about = [(r.cluster, r.s, whole, hashlib.sha256(",".join(map(str, centroids[r.cluster].tolist())).encode()).hexdigest())
+             for r in sums]
+    known = vectors.sparkSession.createDataFrame(
+        about, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return rows.join(F.broadcast(known), "cluster").select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
