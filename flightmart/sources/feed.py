@@ -83,10 +83,10 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case when fn=49 and l_linenumber=7 then null else cast(fn as string) end as flightnum",
         "concat('AP',cast(ok as string)) as originairportcode",
         f"{name('ok')} as origairportname",
-        "case when l_partkey%29=0 then 'NA' else concat('City',cast(ok as string)) end as origincityname",
+        "case when l_partkey%29=0 and ok%12=5 then 'NA' else concat('City',cast(ok as string)) end as origincityname",
         "concat('AP',cast(dk as string),case when b2=1 and dk=24 then 'X' else '' end) as destairportcode",
         f"{name('dk')} as destairportname",
-        "case when l_partkey%37=1 then 'N/A' else concat('City',cast(dk as string)) end as destcityname",
+        "case when l_partkey%37=1 and dk%12=5 then 'N/A' else concat('City',cast(dk as string)) end as destcityname",
         f"{_clock('crs')} as crsdeptime",
         f"case when l_linenumber=7 and l_partkey%3=0 then 'NaN' else concat({_clock('dep')},"
         " case when l_linenumber%2=0 then '.0' when l_linenumber=5 then '.5' else '' end) end as deptime",

@@ -35,10 +35,10 @@ select b2 as batch, concat_ws('-',cast(l_orderkey as string),cast(l_linenumber a
  case when fn=49 and l_linenumber=7 then null else cast(fn as string) end as flightnum,
  concat('AP',cast(ok as string)) as originairportcode,
  concat('City',cast(ok as string),', S',cast(ok%10 as string),':',case when ok%10=1 then chr(9) else '  ' end,'Field ',cast(ok as string),case when b2=1 and ok%10=0 then ' Intl' else '' end) as origairportname,
- case when l_partkey%29=0 then 'NA' else concat('City',cast(ok as string)) end as origincityname,
+ case when l_partkey%29=0 and ok%12=5 then 'NA' else concat('City',cast(ok as string)) end as origincityname,
  concat('AP',cast(dk as string),case when b2=1 and dk=24 then 'X' else '' end) as destairportcode,
  concat('City',cast(dk as string),', S',cast(dk%10 as string),':',case when dk%10=1 then chr(9) else '  ' end,'Field ',cast(dk as string),case when b2=1 and dk%10=0 then ' Intl' else '' end) as destairportname,
- case when l_partkey%37=1 then 'N/A' else concat('City',cast(dk as string)) end as destcityname,
+ case when l_partkey%37=1 and dk%12=5 then 'N/A' else concat('City',cast(dk as string)) end as destcityname,
  cast(cast(floor(crs/60) as int)*100+crs%60 as string) as crsdeptime,
  case when l_linenumber=7 and l_partkey%3=0 then 'NaN' else concat(cast(cast(floor(dep/60) as int)*100+dep%60 as string), case when l_linenumber%2=0 then '.0' when l_linenumber=5 then '.5' else '' end) end as deptime,
  concat(cast(q-10 as string),'.0') as depdelay,

@@ -120,7 +120,7 @@ def test_bad_date_rejects_even_dropped_rows(spark):
 def test_batch_violations_reports_rules(spark):
     v = cleaning.batch_violations(frame(spark, [row("a", depdelay=None), row("b", distance=None),
                                                 row("c", cancelled="T", depdelay=None)])).first()
-    assert v["missing DEPDELAY"] == 1 and v["missing DISTANCE"] == 1
+    assert v["missing or non-numeric DEPDELAY"] == 1 and v["missing or non-numeric DISTANCE"] == 1
 
 
 def test_header_subset_binds_by_name(spark):
