@@ -49,6 +49,13 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--valid-only-lookups", action="store_true")
     load.add_argument("--fixed-next-day", action="store_true")
     load.add_argument("--replace-fact-partition", action="store_true")
+    load.add_argument("--sliced-dimensions", action="store_true", help="rewrite only the slices a load changes")
+    load.add_argument("--one-version-per-key", action="store_true", help="ties have a winner, a key one current row")
+    load.add_argument("--one-row-per-flight", action="store_true", help="look versions up by load date")
+    load.add_argument("--skip-known-transactions", action="store_true", help="append no flight the fact holds")
+    load.add_argument("--tolerated-rejects", type=float, help="share of bad rows to put aside; default: none, one rejects the file")
+    load.add_argument("--new-files-only", action="store_true", help="leave out files that a load has read")
+    load.add_argument("--quoted-line-breaks", action="store_true", help="fields in quotes may hold line breaks")
     load.add_argument("--key-buckets", type=int, default=DEFAULT_BUCKETS, help="tasks that number new keys")
     check = sub.add_parser("check", help="count rows breaking each batch-rejection rule")
     check.add_argument("--raw", required=True, nargs="+")
@@ -63,6 +70,10 @@ def main(argv: list[str] | None = None) -> None:
         hash_style=a.hash_style, expire_offset_days=a.expire_offset_days,
         valid_only_lookups=a.valid_only_lookups, fixed_next_day=a.fixed_next_day,
         replace_fact_partition=a.replace_fact_partition, key_buckets=a.key_buckets,
+        sliced_dimensions=a.sliced_dimensions, one_version_per_key=a.one_version_per_key,
+        one_row_per_flight=a.one_row_per_flight, skip_known_transactions=a.skip_known_transactions,
+        tolerated_rejects=a.tolerated_rejects, new_files_only=a.new_files_only,
+        quoted_line_breaks=a.quoted_line_breaks,
     )
     store = TableStore(spark, a.store)
     daily_load(spark, store, a.raw, a.as_of, opts, load_id=a.load_id)

@@ -161,6 +161,11 @@ def clean_flights(raw: DataFrame, sentinels: tuple[str, ...] = TAILNUM_SENTINELS
     try_cast, so the session's ANSI setting changes nothing.
     """
     df = with_raw_columns(raw)
+    return df.where(_row_gate(sentinels)).select(*_typed_columns(df))
+
+
+def _typed_columns(df: DataFrame, only: set[str] | None = None) -> list[Column]:
+    """Raw text columns as typed values, in the frame's order (``only``: some of them)."""
     typed = {
         "flightdate": F.try_to_date(F.col("flightdate"), DATE_MASK),
         "depdelay": _depdelay(),
@@ -171,13 +176,39 @@ def clean_flights(raw: DataFrame, sentinels: tuple[str, ...] = TAILNUM_SENTINELS
         "cancelled": pg_bool_or_null(F.col("cancelled")),
         "diverted": pg_bool_or_null(F.col("diverted")),
     }
-    out = [
+    return [
         typed[f.name].alias(f.name) if f.name in typed
         else na_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType)
         else F.col(f.name)
-        for f in df.schema.fields
+        for f in df.schema.fields if only is None or f.name in only
     ]
-    return df.where(_row_gate(sentinels)).select(*out)
+
+
+def judged_flights(raw: DataFrame, sentinels: tuple[str, ...] = TAILNUM_SENTINELS) -> DataFrame:
+    """Good and bad rows in one narrow pass, instead of rejecting the batch for one bad row.
+
+    Rows the filters drop are left out, as in :func:`clean_flights`, but a row with an unreadable date
+    is bad even then. The typed columns of the 31-column table hold NULL where a bad row's text can't be read;
+    ``rules`` lists the rules a row breaks (empty for good rows), ``raw`` keeps a bad row's text
+    columns as JSON, and ``rejected`` tells the two apart. The rules are those of
+    :func:`batch_violations`, under the same names.
+    """
+    df = with_raw_columns(raw)
+    kept = _kept(sentinels)
+    bad_date = ~_missing("flightdate") & F.try_to_date(F.col("flightdate"), DATE_MASK).isNull()
+    broken = [F.when(bad_date, F.lit("unparseable FLIGHTDATE"))]
+    broken += [F.when(kept & F.coalesce(rule(), F.lit(True)), F.lit(name)) for rule, name in _BATCH_RULES]
+    df = df.withColumn("rules", F.filter(F.array(*broken), lambda r: r.isNotNull()))
+    df = df.where(kept | (F.size("rules") > 0)).withColumn("rejected", F.size("rules") > 0)
+    text = F.to_json(F.struct(*[F.col(f.name) for f in FLIGHTS.fields]))
+    return df.select(*_typed_columns(df, set(FLIGHTS.fieldNames())), F.when(F.col("rejected"), text).alias("raw"),
+                     "rules", "rejected")
+
+
+def rejects_by_rule(judged: DataFrame) -> DataFrame:
+    """``rule, n_rows`` over the bad rows; a row counts under every rule it breaks."""
+    bad = judged.where("rejected").select(F.explode("rules").alias("rule"))
+    return bad.groupBy("rule").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def to_flights_table(clean: DataFrame) -> DataFrame:

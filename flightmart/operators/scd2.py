@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightmart.functions import as_of_between, content_hash
@@ -69,9 +69,16 @@ def unkeyed_inserts(stage: DataFrame, dim: DataFrame, spec: DimSpec, as_of: dt.d
 def inserts(stage: DataFrame, dim: DataFrame, spec: DimSpec, as_of: dt.date,
             hash_style: str | None = None, key_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """New and changed stage rows as dimension rows with fresh surrogate keys (a written table)."""
+    fresh = unkeyed_inserts(stage, dim, spec, as_of, hash_style)
+    return keyed_inserts(fresh, spec, as_of, max_key(dim, spec.skey), key_buckets)
+
+
+def keyed_inserts(fresh: DataFrame, spec: DimSpec, as_of: dt.date, last_key: Column | int,
+                  key_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Stage rows to insert as open dimension rows with keys after ``last_key`` (a written table)."""
     cols = list(spec.stage_columns)
-    fresh = materialize(unkeyed_inserts(stage, dim, spec, as_of, hash_style), f"fresh-{spec.name}")
-    keyed = assign_keys(fresh, spec.skey, max_key(dim, spec.skey), order_cols=cols, buckets=key_buckets)
+    fresh = materialize(fresh, f"fresh-{spec.name}")
+    keyed = assign_keys(fresh, spec.skey, last_key, order_cols=cols, buckets=key_buckets)
     return materialize(keyed.select(
         spec.skey, *cols,
         F.lit(CURRENT_FLAG_OPEN).alias("current_flag"),

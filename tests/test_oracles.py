@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from flightmart.plans.scenario import QUERIES
+from flightmart.plans.queries import QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "lineitem orders customer supplier nation".split()
