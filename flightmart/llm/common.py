@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightmart.session import materialize, scratch_path  # noqa: F401  (re-exported)
@@ -17,6 +17,7 @@ from flightmart.session import materialize, scratch_path  # noqa: F401  (re-expo
 # unit of memory of every operator here; one row may exceed it, never a group.
 BATCH_ROWS = 2048
 BATCH_BYTES = 4 << 20
+HASHED = 1 << 18
 
 U = np.uint64
 
@@ -61,6 +62,34 @@ def written(df: DataFrame, label: str) -> DataFrame:
         conf.set(name, before)
 
 
+def hashed_window(text: str, chars: int) -> Column:
+    """``chars`` characters of a text from a place drawn by its hash: all of it counts alike."""
+    return F.expr(f"substring({text}, cast(1 + pmod(xxhash64({text}, 'window'), greatest(length({text}) - {chars}, 0) + 1)"
+                  f" as int), {chars})")
+
+
+# A key is hot beyond 1/HOT of all rows, so there are fewer than HOT hot keys: the driver can hold them.
+HOT, HOT_LEAST, SALTS = 4096, 64, 16
+
+
+def hot_join(rows: DataFrame, other: DataFrame, on: list[str], sizes: DataFrame, total: int, spread: list[str],
+             how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``other``; the rows of hot keys are dealt over SALTS tasks by the hash of
+    ``spread``, and those keys' rows of ``other`` are repeated for each.
+
+    ``sizes`` is a written table with the number of ``rows`` a key has (``n``), ``total`` their number.
+    """
+    keys = F.xxhash64(*on)
+    found = sizes.where(F.col("n") > max(total // HOT, HOT_LEAST)).select(keys.alias("h")).distinct().collect()
+    if not found:
+        return rows.join(other, on, how)
+    hot = F.expr(f"xxhash64({', '.join(on)}) IN ({', '.join(f'{r.h}L' for r in found)})")
+    salt = F.when(hot, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).otherwise(0)
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    left, right = rows.withColumn("_salt", salt), other.withColumn("_salt", F.explode(salts))
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | dict | None], schema: str) -> DataFrame:
     """``fn`` over every Arrow batch; it returns the output columns as a dict."""
     target = arrow_schema(schema)
@@ -167,6 +196,15 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of every word given by byte spans (spans ascend, none is empty)."""
     if not len(starts):
         return np.empty(0, U)
+    # some HASHED bytes at a time, or one longer word: a word needs several numbers a byte
+    total = np.cumsum(ends - starts)
+    cuts = np.flatnonzero(np.diff(total // HASHED, prepend=0)).tolist()
+    edges = sorted({0, *cuts, len(starts)})
+    parts = [_word_hashes(data, starts[lo:hi], ends[lo:hi]) for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+    return np.concatenate(parts)
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     lengths = ends - starts
     longest = int(lengths.max())
     powers = np.ones(longest, U)

@@ -10,21 +10,24 @@ are linked if 100 * |intersection| >= 75 * |union|, checked on the full sets.
 2. SuperMinHash gives each class 128 correlated minima. 32 bands of 4 rows
    make the candidate buckets: a pair at similarity 0.75 shares no bucket with
    a probability of 5e-6, at 0.85 of 6e-11.
-3. Within a bucket the class that shares most buckets is the hub. All others
-   are compared with the hub only. Where a bucket's classes then still lie in
-   several components, shingles that occur in one component only are counted:
-   two classes of different components can't share them, which bounds their
-   similarity. Classes and pairs whose bound is too low are struck off. What is left
-   goes on with more hubs (32, 1024, ... a round), comparing only classes of
-   different components, until every pair has been compared, ruled out or
-   joined by a path. No cap is set, and no pair of one component is emitted.
-4. Candidates are verified on the whole sets and joined by union-find.
+3. The class that shares most buckets is the hub of a bucket. Each class is compared with one hub, the
+   best of its buckets, and union-find joins the links. Copies of one text mostly end up in one
+   component here, and pairs within a component are not looked at again.
+4. Where a bucket's classes then still lie in several components, an exact prefix filter finds every
+   pair that can be similar. Shingles are put in order by the number of open classes that hold
+   them, rarest first. Sets of n and n' shingles that are similar share at least
+   c = 75 (n + n') / 175, so the first shingle they share has c - 1 others behind it in both; the smaller set is indexed
+   by its first n - 75 * 2n / 175 shingles, the larger one probes with those that leave enough for
+   some partner of 75 to 100 % of its size. Keys are (shingle, size class). A key's classes of
+   its most frequent component meet only those of others, so the many copies of one component aren't paired.
+5. Pairs are verified on the whole sets and joined by union-find again. No cap is set anywhere.
 
 Edge cases: null text = empty text: no shingles, its own component, kept. A
 null ``doc_id`` takes part; the component id is the smallest non-null id
 (null if there is none) and a row is kept if its id equals it, nulls included.
 Repeated rows have equal sets, so they share a component and all rows of the
 smallest id are kept. Other columns of the input are never read.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,16 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightmart.llm.common import (
-    U, ascii_lower, map_batches, materialize, mix, text_rows, utf8, word_hashes, word_spans,
+    U, ascii_lower, hot_join, map_batches, mix, text_rows, utf8, word_hashes, word_spans, written,
 )
 from flightmart.llm.graph import components
 
 WORDS = 5
 SIMILARITY = (75, 100)
 BANDS, ROWS = 32, 4
-SALTS = 16
 ELEMENTS = 1 << 16  # shingles whose permutations are held at a time
-HUB_GROWTH = 32
+SIZES = 8           # size classes per doubling of a set's size
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -158,145 +160,173 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
         source, run, "doc_id long, content long, n_shingles long, digest binary, bands array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def shingle_table(texts: DataFrame) -> DataFrame:
+    """``cid, n, shingles`` of the classes of ``texts(cid, text)``; the set as 64-bit hashes, ascending."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        sets = shingle_sets(batch.column("text"))
+        sizes = np.array([len(s) for s in sets], np.int64)
+        offsets = np.zeros(len(sets) + 1, np.int32)
+        np.cumsum(sizes, out=offsets[1:])
+        return {"cid": batch.column("cid"), "n": sizes,
+                "shingles": pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64)))}
+
+    return map_batches(texts, run, "cid long, n long, shingles array<long>")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of classes whose whole sets are similar enough."""
     num, den = SIMILARITY
 
     def run(batch: pa.RecordBatch) -> dict:
-        left, right = shingle_sets(batch.column("text_a")), shingle_sets(batch.column("text_b"))
+        def arrays(column: pa.Array) -> list[np.ndarray]:
+            return np.split(np.asarray(column.flatten()), np.asarray(column.offsets)[1:-1] - column.offsets[0].as_py())
+
+        left, right = arrays(batch.column("set_a")), arrays(batch.column("set_b"))
         common = np.array([np.intersect1d(s, t, assume_unique=True).size for s, t in zip(left, right, strict=True)])
         either = np.array([len(s) + len(t) for s, t in zip(left, right, strict=True)]) - common
         hit = pa.array(np.flatnonzero(den * common >= num * either))
         return {"a": batch.column("a").take(hit), "b": batch.column("b").take(hit)}
 
-    a = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
-    return map_batches(pairs.select("a", "b").join(a, "a").join(b, "b"), run, "a long, b long")
+    pairs, total = pairs.select("a", "b"), 2 * pairs.count()
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("n"))
+    ends = written(ends, "nd-ends")
+    sets = sets.join(ends.select("cid"), "cid", "left_semi")
+    for end in ("a", "b"):    # a hub is in many pairs
+        found = sets.select(F.col("cid").alias(end), F.col("shingles").alias(f"set_{end}"))
+        pairs = hot_join(pairs, found, [end], ends.withColumnRenamed("cid", end), total, ["a", "b"])
+    return map_batches(pairs, run, "a long, b long")
 
 
-def private_shingles(open_rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """``cid, own`` of the open classes with private shingles: ``own`` is their number.
+def hub_pairs(members: DataFrame, sizes: DataFrame, total: int) -> DataFrame:
+    """``a, b``: every class with the best hub of its buckets (a row a class at most)."""
+    hubs = members.groupBy("key").agg(F.max(F.struct("score", "cid")).alias("hub"))
+    met = hot_join(members.select("key", "cid"), hubs, ["key"], sizes, total, ["cid"])
+    best = met.where(F.col("hub.cid") != F.col("cid")).groupBy("cid").agg(F.max("hub").alias("hub"))
+    return best.select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
 
-    A shingle is private if all open classes that hold it are of one component, so a
-    class of another component shares none of them.
-    """
-    classes = open_rows.select("cid", "root").distinct()
 
-    def run(batch: pa.RecordBatch) -> dict:
-        sets = shingle_sets(batch.column("text"))
-        at = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
-        return {"cid": batch.column("cid").take(at), "root": batch.column("root").take(at),
-                "shingle": np.concatenate(sets).view(np.int64)}
-
-    rows = map_batches(classes.join(texts, "cid"), run, "cid long, root long, shingle long")
-    rows = materialize(rows, "nd-open-shingles")
-    private = rows.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo = hi")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    private = private.select("shingle").withColumn("salt", salts)
-    rows = rows.withColumn("salt", F.pmod("cid", F.lit(SALTS)).cast("int"))
-    return rows.join(private, ["shingle", "salt"], "left_semi").groupBy("cid").agg(F.count("*").alias("own"))
-
-
-def _possible(n: str, own: str, hub_n: str, hub_own: str):
-    """Can two classes of different components be similar? They share at most the shingles that
-    neither has for itself, so c = min(n - own) bounds the intersection and c / (n + n' - c)
-    the similarity."""
-    num, den = SIMILARITY
-    common = F.least(F.col(n) - F.col(own), F.col(hub_n) - F.col(hub_own))
-    return den * common >= num * (F.col(n) + F.col(hub_n) - common)
+def open_classes(members: DataFrame, roots: DataFrame, sizes: DataFrame, total: int) -> DataFrame:
+    """``cid, root`` of the classes in buckets that hold several components."""
+    rows = members.select("key", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+    rows = written(rows.withColumn("root", F.coalesce("root", "cid")), "nd-rows")
+    several = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    return hot_join(rows, several, ["key"], sizes, total, ["cid"]).select("cid", "root").distinct()
 
 
-def _split(rows: DataFrame) -> DataFrame | None:
-    """The rows of buckets that hold several components; None if there are none."""
-    split = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    rows = materialize(rows.join(split.select("key"), "key", "left_semi"), "nd-open")
-    return rows if rows.limit(1).count() else None
+def _least_common(n: str, m: str) -> str:
+    """The least number of shared shingles at which sets of n and m are similar."""
+    num, den = SIMILARITY
+    return f"ceil({num} * ({n} + {m}) / {num + den})"
 
 
-def links_between(members: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """``node, root`` of every linked class of ``members(key, cid, n, score)``; None without buckets."""
+def prefix_rows(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``shingle, size, probe, cid, root, n, pos``: the prefixes of all open classes, by shingle and size class."""
     num, den = SIMILARITY
-    links, roots, tested, hubs_per_round = None, None, None, 1
-    salt = F.pmod("cid", F.lit(SALTS)).cast("int")
-    # at first every class is a component of its own, and every bucket holds several
-    open_rows = members.withColumn("root", F.col("cid")).withColumn("own", F.lit(0).cast("long"))
-    while open_rows is not None:
-        part = F.pmod(F.xxhash64("cid"), F.lit(hubs_per_round)).alias("part")
-        hubs = open_rows.groupBy("key", part).agg(F.max(F.struct("score", "cid", "n", "own", "root")).alias("hub")).select(
-            "key", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("cid", "n", "own", "root")])
-        hubs = materialize(hubs, "nd-hubs")
-        salted = hubs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        pairs = (
-            open_rows.withColumn("salt", salt).join(salted, ["key", "salt"])
-            .where((F.col("root") != F.col("hub_root")) & _possible("n", "own", "hub_n", "hub_own"))
-            .select(F.least("cid", "hub_cid").alias("a"), F.greatest("cid", "hub_cid").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "nd-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = materialize(verified(pairs, texts), "nd-links")
-        if links is None or found.limit(1).count():
-            links = found if links is None else links.unionByName(found)
-            roots = components(links)
-        # members that were hubs have met their whole bucket; the rest go on
-        # only where a bucket still holds several components
-        rest = open_rows.drop("root", "own").join(
-            hubs.select("key", F.col("hub_cid").alias("cid")), ["key", "cid"], "left_anti")
-        rest = rest.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-            "root", F.coalesce("root", "cid"))
-        open_rows = _split(materialize(rest, "nd-rest"))
-        if open_rows is not None:
-            own = materialize(private_shingles(open_rows, texts), "nd-own")
-            known = open_rows.join(own, "cid", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-            # against the best partner thinkable: of the same shared shingles and none of its own
-            open_rows = _split(known.where(den * (F.col("n") - F.col("own")) >= num * F.col("n")))
-        hubs_per_round *= HUB_GROWTH
-    return roots
+    owned = classes.join(sets, "cid").select("cid", "root", F.col("n").alias("of"), F.explode("shingles").alias("shingle"))
+    held = written(owned.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "nd-held")
+    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranked = hot_join(owned, held.withColumnRenamed("n", "df"), ["shingle"], held, total, ["cid"])
+    # shingles of one class alone come first; they match nothing, so only their number counts
+    lists = ranked.groupBy("cid").agg(F.first("root").alias("root"), F.first("of").alias("n"),
+                                      F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+    lists = lists.withColumn("alone", F.col("n") - F.size("s"))
+    reach = F.col("n") - F.ceil(F.lit(num) * F.col("n") / den) + 1 - F.col("alone")
+    rows = lists.where(reach > 0).select("cid", "root", "n", "alone", F.posexplode(F.slice("s", F.lit(1), reach.cast("int"))))
+    rows = rows.select("cid", "root", "n", (F.col("alone") + F.col("pos")).alias("pos"), F.col("col.shingle").alias("shingle"))
+
+    def size(n: str) -> str:
+        return f"cast(floor({SIZES} * log2({n})) as int)"
+
+    index = rows.where(F.expr(f"n - pos >= {_least_common('n', 'n')}")).withColumn("size", F.expr(size("n")))
+    # partners of lo to hi shingles leave enough behind this one
+    spans = rows.withColumn("lo", F.expr(f"ceil({num} * n / {den})")).withColumn(
+        "hi", F.expr(f"least(n, floor((n - pos) * {num + den} / {num}) - n)")).where("hi >= lo")
+    probe = spans.withColumn("size", F.explode(F.expr(f"sequence({size('lo')}, {size('hi')})"))).drop("lo", "hi")
+    index, probe = index.withColumn("probe", F.lit(False)), probe.withColumn("probe", F.lit(True))
+    return index.unionByName(probe)
+
+
+def prefix_pairs(rows: DataFrame) -> DataFrame:
+    """``a, b``: the pairs of classes of different components that their prefixes leave possible."""
+    on = ["shingle", "size"]
+    parts = rows.groupBy(*on, "root").agg(F.count("*").alias("n"), F.count_if("probe").alias("probes"))
+    keys = parts.groupBy(*on).agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.sum("n").alias("n"),
+                                  F.sum("probes").alias("probes"), F.count("*").alias("roots"))
+    keys = written(keys.where("roots > 1 and probes > 0 and probes < n").select(*on, "major", "n"), "nd-keys")
+    sizes, total = keys.select(*on, "n"), rows.count()
+    live = hot_join(rows, keys.drop("n"), on, sizes, total, ["cid"]).withColumn("minor", F.col("root") != F.col("major"))
+    live = written(live.drop("major"), "nd-live")
+    names = ["cid", "root", "n", "pos"]
+    out = []
+    # one of two classes of different components is not of the key's most frequent one
+    for index, probe in (("minor", "true"), ("not minor", "minor")):
+        x = live.where(f"not probe and ({index})").select(*on, *[F.col(c).alias(f"x_{c}") for c in names])
+        y = live.where(f"probe and ({probe})").select(*on, *[F.col(c).alias(f"y_{c}") for c in names])
+        many, few, by = (y, x, "y_cid") if index == "minor" else (x, y, "x_cid")
+        met = hot_join(many, few, on, sizes, total, [by])
+        least = _least_common("x_n", "y_n")
+        met = met.where(F.expr(f"x_root <> y_root and (x_n < y_n or (x_n = y_n and x_cid < y_cid)) "
+                               f"and x_n - x_pos >= {least} and y_n - y_pos >= {least}"))
+        out.append(met.select(F.least("x_cid", "y_cid").alias("a"), F.greatest("x_cid", "y_cid").alias("b")))
+    return out[0].unionByName(out[1]).distinct()
+
+
+def links_between(members: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, root`` of every linked class of ``members(key, cid, score)``; ``sizes`` of the buckets."""
+    total = members.count()
+    links = written(verified(written(hub_pairs(members, sizes, total), "nd-pairs"), sets), "nd-links")
+    classes = written(open_classes(members, components(links), sizes, total), "nd-classes-open")
+    pairs = prefix_pairs(written(prefix_rows(classes, sets), "nd-prefixes"))
+    more = written(verified(written(pairs, "nd-pairs"), sets), "nd-links")
+    return components(links.unionByName(more))
 
 
 def _known(column: str):
     return F.coalesce(F.col(column), F.lit((1 << 63) - 1))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``."""
-    sig = materialize(signatures(docs), "nd-sig")
+def grouped(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept, content``, one row per row of ``docs``; ``content`` is
+    the xxhash64 of the text, which tells rows of one doc_id apart."""
+    sig = written(signatures(docs), "nd-sig")
     classes = sig.where("n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("label"), F.min(F.struct(_known("doc_id").alias("id"), "content")).alias("text_of"),
-        F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "nd-classes")
-
-    rows = classes.select("cid", "n", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    salted = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod("cid", F.lit(SALTS)).cast("int")
-    buckets = rows.withColumn("salt", salt).join(salted, ["key", "salt"]).select(
-        "key", "size", "cid", "n")
-    buckets = materialize(buckets, "nd-buckets")
-    score = buckets.groupBy("cid").agg(F.sum("size").alias("score"))
-    members = materialize(buckets.join(score, "cid").select("key", "cid", "n", "score"), "nd-members")
+        F.first("bands").alias("bands"), F.count("*").alias("copies"))
+    classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "nd-classes")
+
+    rows = classes.select("cid", F.explode("bands").alias("key"))
+    shared = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "nd-shared")
+    n_classes = classes.count()
+    buckets = hot_join(rows, shared.withColumnRenamed("n", "size"), ["key"], shared, n_classes * BANDS, ["cid"])
+    # at most BANDS keys a class
+    scored = buckets.groupBy("cid").agg(F.sum("size").alias("score"), F.collect_list("key").alias("keys"))
+    scored = written(scored, "nd-members")
+    members = scored.select("cid", "score", F.explode("keys").alias("key"))
 
     # a class's text by id and hash, as ids may be null or repeat with other texts
-    needed = members.select("cid").distinct().join(classes.select("cid", "text_of.*"), "cid")
+    needed = scored.select("cid").join(classes.select("cid", "text_of.*"), "cid")
     source = text_rows(docs).select(_known("doc_id").alias("id"), F.xxhash64("text").alias("content"), "text")
     texts = source.join(needed, ["id", "content"]).groupBy("cid").agg(F.first("text").alias("text"))
-    roots = links_between(members, materialize(texts, "nd-texts"))
-
-    labels = classes.select("cid", "digest", "label")
-    if roots is None:
-        labels = labels.withColumn("root", F.col("cid"))
-    else:
-        labels = labels.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-            "root", F.coalesce("root", "cid"))
-    least = labels.groupBy("root").agg(F.min("label").alias("component_id"))
-    groups = materialize(labels.join(least, "root").select("digest", "component_id"), "nd-groups")
-    out = sig.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
-    out = out.join(groups, "digest", "left").withColumn(
+    roots = links_between(members, shared, written(shingle_table(texts), "nd-sets"))
+
+    labels = classes.select("cid", "digest", "label").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+    labels = written(labels.withColumn("root", F.coalesce("root", "cid")), "nd-labels")
+    least = labels.groupBy("root").agg(F.min("label").alias("component_id"), F.count("*").alias("n"))
+    least = written(least, "nd-least")
+    groups = hot_join(labels, least.drop("n"), ["root"], least.select("root", "n"), n_classes, ["cid"])
+    groups = groups.select("digest", "component_id")
+    sizes = classes.select("digest", F.col("copies").alias("n"))
+    out = sig.select("doc_id", "content", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
+    out = hot_join(out, groups, ["digest"], sizes, sig.count(), ["doc_id", "content"], "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    return out.select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "content")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``."""
+    return grouped(docs).drop("content")
 
 
 # DuckDB SQL for ``near_duplicates`` over the table documents
