@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--skip-known-transactions", action="store_true", help="append no flight the fact holds")
     load.add_argument("--tolerated-rejects", type=float, help="share of bad rows to put aside; default: none, one rejects the file")
     load.add_argument("--new-files-only", action="store_true", help="leave out files that a load has read")
+    load.add_argument("--inferred-types", action="store_true", help="column types as the source's reader infers them")
     load.add_argument("--quoted-line-breaks", action="store_true", help="fields in quotes may hold line breaks")
     load.add_argument("--key-buckets", type=int, default=DEFAULT_BUCKETS, help="tasks that number new keys")
     check = sub.add_parser("check", help="count rows breaking each batch-rejection rule")
@@ -73,7 +74,7 @@ def main(argv: list[str] | None = None) -> None:
         sliced_dimensions=a.sliced_dimensions, one_version_per_key=a.one_version_per_key,
         one_row_per_flight=a.one_row_per_flight, skip_known_transactions=a.skip_known_transactions,
         tolerated_rejects=a.tolerated_rejects, new_files_only=a.new_files_only,
-        quoted_line_breaks=a.quoted_line_breaks,
+        quoted_line_breaks=a.quoted_line_breaks, inferred_types=a.inferred_types,
     )
     store = TableStore(spark, a.store)
     daily_load(spark, store, a.raw, a.as_of, opts, load_id=a.load_id)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightmart.operators import cleaning, intervals, scd2, staging
+from flightmart.operators import cleaning, inferred, intervals, scd2, staging
 from flightmart.operators.scd2_single import single_step
 from flightmart.operators.scd2_sliced import sliced_step
 from flightmart.plans.daily_load import LoadOptions, daily_load, view
@@ -162,6 +162,18 @@ def q_vw_flights_sliced(spark, sf_dir):
     return _view_out(out)
 
 
+# -- inferred types ---------------------------------------------------------------------
+
+
+def q_column_kinds(spark, sf_dir):
+    return inferred.column_kinds(raw_feed(spark, sf_dir).drop("batch"))
+
+
+def q_flights_as_read(spark, sf_dir):
+    """The feed's text as it is loaded when the reader infers the columns' types."""
+    return inferred.as_read(_raw(spark, sf_dir))
+
+
 # -- quoted line breaks -----------------------------------------------------------------
 
 
@@ -224,6 +236,8 @@ QUERIES = {
     "scd2_single_air_route": _single_query(AIR_ROUTE),
     "fact_one_row": q_fact_one_row,
     "vw_flights_one_row": q_vw_flights_one_row,
+    "column_kinds": q_column_kinds,
+    "flights_as_read": q_flights_as_read,
     "scan_quoted_lines": q_scan_quoted_lines,
     "rejects_by_rule": q_rejects_by_rule,
     "tolerated_flights": q_tolerated_flights,

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 
 from oracle_sql import (
-    BASE, DIM_NAMES, DIMS, FEED_CTES, FLIGHTS_31, KEEP, LOADS, MEASURES_CTE, NA, TEXT_COLUMNS, VIEW_BODY,
+    BASE, DIM_NAMES, DIMS, FEED_CTES, FLIGHTS_31, KEEP, LOADS, MEASURES_CTE, NA, NF_CTE, TEXT_COLUMNS, VIEW_BODY,
     _bool, _cols, _d, _dim_public, _fact_ctes, _joined, _lst, _numbering, _scd2, _with, dim_chain, stage_sql,
 )
 
@@ -132,6 +132,36 @@ FACT_BODY = """select load_date, transactionid, distance, distancegroup, depdela
 FIRST_VIEW = VIEW_BODY.replace("airport_d2", "airport_d1") + f" and f.load_date = {_d(LOADS[0][0])}"
 
 
+# -- inferred types ----------------------------------------------------------------------------
+
+INTEGER = r"'^\s*[+-]?[0-9]+\s*$'"
+FLOAT = r"'^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$'"
+
+
+def _kind_ctes() -> list[str]:
+    words = _lst(("True", "TRUE", "true", "False", "FALSE", "false"))
+
+    def counts(c: str) -> str:
+        whole = f"regexp_matches({c}, {INTEGER}) and try_cast(replace(trim({c}), '+', '') as bigint) is not null"
+        return (f"select '{c}' as column_name, count(*) as n, count({c}) as known, count(*) filter (where {whole}) as integers, "
+                f"count(*) filter (where regexp_matches({c}, {INTEGER})) as digits, "
+                f"count(*) filter (where regexp_matches({c}, {FLOAT})) as floats, "
+                f"count(*) filter (where {c} in ({words})) as booleans from nf")
+
+    kind = ("case when known = 0 then 'empty' when integers = n then 'integer' when digits = n then 'text' when floats = known then 'float' "
+            "when booleans = known then 'boolean' else 'text' end")
+    return [FEED_CTES, NF_CTE, "counts as (" + " union all ".join(counts(c) for c in TEXT_COLUMNS) + ")",
+            f"kinds as (select column_name, {kind} as kind from counts)"]
+
+
+def _as_read() -> str:
+    def text(c: str) -> str:
+        kind = f"(select kind from kinds where column_name = '{c}')"
+        return (f"case {kind} when 'integer' then cast(try_cast({c} as bigint) as varchar) "
+                f"when 'float' then cast(try_cast({c} as double) as varchar) else {c} end as {c}")
+    return _with(_kind_ctes(), f"select batch, {', '.join(text(c) for c in TEXT_COLUMNS)} from nf")
+
+
 # -- rejects ----------------------------------------------------------------------------------
 
 FAULTS = (
@@ -195,6 +225,8 @@ def oracles() -> dict[str, str]:
     o["vw_flights_after_first_load"] = _with(_fact_ctes(), FIRST_VIEW)
     o["load_each_file_once"] = _with(_fact_ctes(), VIEW_BODY)
     two = "case when transactionid like '%7' then concat(destcityname, chr(10), '\"East|West\"') else destcityname end"
+    o["column_kinds"] = _with(_kind_ctes(), "select column_name, kind from kinds")
+    o["flights_as_read"] = _as_read()
     o["scan_quoted_lines"] = _with([FEED_CTES], "select cast(batch as varchar) as batch, " + ", ".join(
         f"{two} as destcityname" if c == "destcityname" else c for c in TEXT_COLUMNS) + " from feed")
     o["rejects_by_rule"] = _with(_faulty_ctes(), "select rule, count(*) as n_rows from "

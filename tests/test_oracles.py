@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from flightmart.plans import scenario, scenario_options
 from flightmart.plans.queries import QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -36,6 +37,33 @@ def con():
     return c
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_inputs():
+    """The queries share what they all write first: the feed, the cleaned flights, the dimension histories.
+
+    A history of fewer loads is the beginning of the longest one. (tools/check_oracles.py runs every query
+    on its own.)
+    """
+    patch, kept = pytest.MonkeyPatch(), {}
+
+    def once(key, make):
+        if key not in kept:
+            kept[key] = make()
+        return kept[key]
+
+    raw, clean = scenario._raw, scenario._clean
+    history, sliced = scenario._dim_history, scenario_options._sliced_history
+    for module in (scenario, scenario_options):
+        patch.setattr(module, "_raw", lambda spark, sf: once("raw", lambda: raw(spark, sf)))
+        patch.setattr(module, "_clean", lambda spark, sf: once("clean", lambda: clean(spark, sf)))
+    patch.setattr(scenario, "_dim_history", lambda spark, flights, spec, loads=scenario.LOADS: once(
+        spec.name, lambda: history(spark, flights, spec, scenario.LOADS))[:len(loads)])
+    patch.setattr(scenario_options, "_sliced_history", lambda spark, flights, spec: once(
+        f"sliced {spec.name}", lambda: sliced(spark, flights, spec)))
+    yield
+    patch.undo()
+
+
 CORE = sorted(QUERIES)  # the training-data operators have tests of their own
 
 
