@@ -35,10 +35,10 @@ def drop_toxic(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One document of each near-duplicate group."""
-    groups = near_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    kept = groups.withColumnRenamed("doc_id", "_kept")
-    return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """One document of each near-duplicate group (rows of one doc_id with other texts are told apart)."""
+    kept = near_dedup.grouped(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_content"))
+    return docs.select(*COLUMNS).join(kept.distinct(), same, "left_semi")
 
 
 def cut_repeats(spark, docs, sf_dir):
