@@ -23,7 +23,8 @@ same sum in another order. Whole texts are scored, each distinct word once.
 Edge cases: null text = empty text = text without words: the score of the least
 margin. No label of either class: score 0, predicted 0. A null doc_id is
 held out. A document labelled twice is toxic if one label says so; null labels
-are ignored. Repeated rows get equal scores. Other columns are never read.
+are ignored. Repeated rows get equal scores. Other columns are never read. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
