@@ -469,9 +469,9 @@ def test_markov_spans_match_brute_force(spark, texts):
     rows += [(i, " ".join(rnd.choice(["plain", "text2", "".join(rnd.choice(some + "+/_=-") for _ in range(rnd.randrange(12, 40))),
                                       "token=" + "".join(rnd.choice(some) for _ in range(20)), "averyverylongordinarywordofletters1"])
                           for _ in range(12))) for i in range(80)]
-    matched = secrets.matched(table(spark, rows))
-    spans = secrets.materialize(secrets.placed(matched), "t-spans")
-    ratio = secrets.ratios(matched, spans, matched.count())
+    docs = table(spark, rows)
+    spans = secrets.materialize(secrets.placed(secrets.matched(docs)), "t-spans")
+    ratio = secrets.ratios(docs, spans, len(rows))
     pattern = re.compile(secrets.KINDS["markov"][0], re.A)
     found = 0
     for r in secrets.scanned(table(spark, rows)).collect():
