@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from flightmart.llm.common import materialize, prepare
 
-LINE_DOCS = 50
-LINE_SHARE = 0.002
+LINE_DOCS = 3      # a line is boilerplate in more documents of its host than this ...
+LINE_SHARE = 0.02  # ... and than this share of them
 LEFT_WORDS = 10
 LEFT_SHARE = 0.5
 MIN_WORDS = 10
