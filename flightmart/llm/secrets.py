@@ -12,7 +12,7 @@ exceeds MIN_RATIO a character. Both are first-order Markov models of characters
 trained from labelled samples: the values of base spans are random strings, the
 words of documents without any are ordinary. The samples are bounded (training
 only): SAMPLE_VALUES values and SAMPLE_DOCS documents, those of least hash, of these
-their first SAMPLE_CHARS characters. What reaches the driver are counts of
+SAMPLE_CHARS characters each from a place drawn by hash. What reaches the driver are counts of
 character pairs, 2 * 128 * 128 numbers at most.
 
 Positions: ``\\G(.*?)(pattern)`` gives the gap before each match, so a start is
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flightmart.llm.common import materialize, prepare
+from flightmart.llm.common import hashed_window, materialize, prepare
 
 _KEY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 _CHARS = "[A-Za-z0-9+/_=-]"
@@ -108,7 +108,7 @@ def ratios(docs: DataFrame, spans: DataFrame, n_docs: int) -> list[float]:
     base = spans.where(F.col("kind") < len(BASE)).select(F.col("value").alias("word")).distinct()
     random = base.orderBy(F.xxhash64("word"), "word").limit(SAMPLE_VALUES)
     sample = docs.where(F.length("text") > 0).select(
-        F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("text").alias("at"))
+        hashed_window("text", SAMPLE_CHARS).alias("text"), F.xxhash64("text").alias("at"))
     # of many documents only every so many-th hash is looked at, so that a task's candidates
     # don't grow with the number of tasks
     sample = sample.where(F.pmod("at", F.lit(max(1, n_docs // (4 * SAMPLE_DOCS)))) == 0)
