@@ -26,12 +26,14 @@ also reach a share of the page's mean score.
 
 Edge cases: null html = empty html: empty text. A page without content blocks
 gives an empty text. Repeated rows give equal texts; null ids and urls pass;
-other columns are not read. No text is cut off or capped.
+other columns are not read. No text is cut off or capped. An empty table gives no
+rows. A very long or deep page, with elements or tags that never end, takes time in proportion to its length.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from html import unescape
 
@@ -67,8 +69,8 @@ AWAY = re.compile(
 #: Of an article element only these: its class often names the page's other parts.
 AWAY_ARTICLE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|comments?|promo\w*|related|replies|reply|sponsor\w*|teaser)(?=$|[\s_-])", re.I)
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _SPACE = re.compile(r"\s+")
 _PUNCTUATION = re.compile(r"[.,;:!?、。，！？…]")
@@ -79,19 +81,148 @@ ARTICLE = 2.0
 MARKED = 0.1
 
 
+class Path:
+    """A tag path: its last tag and the path before it. Equal paths of a page are one object."""
+
+    __slots__ = ("children", "parent", "tag")
+
+    def __init__(self, parent: Path | None = None, tag: str = ""):
+        self.parent, self.tag = parent, tag
+        self.children: dict[str, Path] = {}
+
+    def child(self, tag: str) -> Path:
+        found = self.children.get(tag)
+        if found is None:
+            found = self.children[tag] = Path(self, tag)
+        return found
+
+
 class Block:
     __slots__ = ("key", "links", "path", "text", "within")
 
-    def __init__(self, path: tuple, text: str, links: int, within: bool, marked: bool):
+    def __init__(self, path: Path, text: str, links: int, within: bool, marked: bool):
         self.path, self.text, self.links, self.within = path, text, links, within
         self.key = (path, marked)
 
 
-def _away(name: str, attributes: str, path: list) -> tuple[bool, bool]:
+class Tags:
+    """The tags of a page in order, each found in time linear in what it spans.
+
+    A tag that never ends is text. So that many of these don't each search the page to its end, the next
+    stopper and the quotes that are known to lead nowhere are remembered.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = html.rfind(">")
+        self.stop = (0, -1)              # no stopper between these, the second is one
+        self.lost: set[int] = set()      # opening quotes after which no tag ends
+
+    def _stopper(self, i: int) -> int:
+        lo, at = self.stop
+        if not lo <= i <= at:
+            found = _STOP.search(self.html, i)
+            at = found.start() if found else len(self.html)
+            self.stop = (i, at)
+        return at
+
+    def _end(self, i: int) -> int:
+        """The place of the > that ends a tag whose attributes start at i; -1 if none does."""
+        html, seen = self.html, []
+        while i <= self.last:
+            at = self._stopper(i)
+            if at >= len(html):
+                break
+            if html[at] == ">":
+                return at
+            if at in self.lost:
+                break
+            seen.append(at)
+            close = html.find(html[at], at + 1)
+            if close < 0:
+                break
+            i = close + 1
+        self.lost.update(seen)
+        return -1
+
+    def next(self, position: int) -> tuple[int, int, str, bool, str] | None:
+        """Start and end of the next tag, its name (empty: a comment or declaration), whether it is an end
+        tag, and its attributes."""
+        html = self.html
+        at = html.find("<", position)
+        while at >= 0:
+            after = html[at + 1:at + 2]
+            if after in ("!", "?"):
+                opened, close = ("<!--", "-->") if html.startswith("<!--", at) else ("<![CDATA[", "]]>")
+                if html.startswith(opened, at):
+                    end = html.find(close, at + len(opened))
+                    return at, len(html) if end < 0 else end + len(close), "", False, ""
+                if at < self.last:
+                    return at, html.index(">", at) + 1, "", False, ""
+            else:
+                name = _NAME.match(html, at + 1 + (after == "/"))
+                end = self._end(name.end()) if name else -1
+                if end >= 0:
+                    return at, end + 1, name.group().lower(), after == "/", html[name.end():end]
+            at = html.find("<", at + 1)
+        return None
+
+
+class Open:
+    """The open elements. An inline element that ends inside a block leaves an empty place, so places stay."""
+
+    def __init__(self):
+        self.places: list[tuple[str, bool, bool, Path] | None] = []
+        self.at: dict[str, list[int]] = defaultdict(list)     # places of each name, ascending
+        self.blocks: list[int] = []
+        self.root = Path()
+
+    def path(self) -> Path:
+        return self.places[self.blocks[-1]][3] if self.blocks else self.root
+
+    def push(self, name: str, left_out: bool, marked: bool) -> None:
+        at = len(self.places)
+        path = self.root
+        if name in BLOCKS:
+            path = self.path().child(name)
+            self.blocks.append(at)
+        self.places.append((name, left_out, marked, path))
+        self.at[name].append(at)
+
+    def innermost(self, name: str) -> int | None:
+        found = self.at.get(name)
+        return found[-1] if found else None
+
+    def in_block_after(self, at: int) -> bool:
+        return bool(self.blocks) and self.blocks[-1] > at
+
+    def to_close(self, ends: set[str]) -> int | None:
+        """The outermost element that an opening tag ends: one of ``ends`` within the innermost barrier."""
+        barrier = max((self.at[b][-1] for b in BARRIERS - ends if self.at.get(b)), default=-1)
+        inside = []
+        for e in ends:
+            places = self.at.get(e)
+            if places and places[-1] > barrier:
+                inside.append(places[bisect_right(places, barrier)])
+        return min(inside, default=None)
+
+    def remove(self, at: int) -> tuple[str, bool, bool, Path]:
+        """Takes one element out; the last one together with the empty places before it."""
+        element = self.places[at]
+        self.at[element[0]].pop()
+        self.places[at] = None
+        if self.blocks and self.blocks[-1] == at:
+            self.blocks.pop()
+        while self.places and self.places[-1] is None:
+            self.places.pop()
+        return element
+
+
+def _away(name: str, attributes: str, within: bool) -> tuple[bool, bool]:
     """Whether an element is left out, and whether its names mark it."""
     if name in SKIP:
         return True, False
-    if name == "header" and not any(p in ("article", "main") for p in path):
+    if name == "header" and not within:
         return True, False
     marked = False
     if attributes:
@@ -111,9 +242,10 @@ def _away(name: str, attributes: str, path: list) -> tuple[bool, bool]:
 def blocks_of(html: str) -> list[Block]:
     """The page's text blocks outside of what is never main text."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements; whether each is left out or marked
-    gone = links = depth_a = marks = 0
+    tags, opened = Tags(html), Open()
+    gone = links = depth_a = marks = articles = 0    # of the open elements: left out, links, marked, articles
     buffer: list[str] = []
+    unended: set[str] = set()
     position, n = 0, len(html)
 
     def flush() -> None:
@@ -121,8 +253,7 @@ def blocks_of(html: str) -> list[Block]:
         if buffer:
             text = _SPACE.sub(" ", "".join(buffer)).strip()
             if text:
-                path = tuple(t for t, _, _ in stack if t in BLOCKS)
-                out.append(Block(path, text, links, any(t in ("article", "main") for t in path), marks > 0))
+                out.append(Block(opened.path(), text, links, articles > 0, marks > 0))
             buffer.clear()
         links = 0
 
@@ -134,72 +265,71 @@ def blocks_of(html: str) -> list[Block]:
             if depth_a:
                 links += len(text.strip())
 
-    def pop_to(index: int) -> None:
-        nonlocal gone, depth_a, marks
-        while len(stack) > index:
-            if stack[-1][0] in BLOCKS or stack[-1][2]:
-                flush()
-            name, left_out, marked = stack.pop()
-            gone -= left_out
-            marks -= marked
-            depth_a -= name == "a"
+    def close(at: int) -> None:
+        nonlocal gone, depth_a, marks, articles
+        name, left_out, marked, _ = opened.places[at]
+        if name in BLOCKS or marked:
+            flush()
+        opened.remove(at)
+        gone -= left_out
+        marks -= marked
+        depth_a -= name == "a"
+        articles -= name in ("article", "main")
+
+    def close_to(at: int) -> None:
+        while len(opened.places) > at:
+            close(len(opened.places) - 1)
 
     while position < n:
-        match = _TAG.search(html, position)
-        if match is None:
+        tag = tags.next(position)
+        if tag is None:
             rest = html[position:]
             cut = re.search(r"<(?=[a-zA-Z/!?])", rest)  # a tag that never ends
             add(rest[:cut.start()] if cut else rest)
             break
-        add(html[position:match.start()])
-        position = match.end()
-        name = match.group(2)
-        if name is None:
+        start, end, name, closing, attributes = tag
+        add(html[position:start])
+        position = end
+        if not name:
             continue
-        name = name.lower()
-        if match.group(1):
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if at is not None and (name in BLOCKS or not any(t in BLOCKS for t, _, _ in stack[at + 1:])):
-                pop_to(at)
-            elif at is not None:  # an inline end tag beyond a block: only the element itself goes
-                if stack[at][2]:
-                    flush()
-                _, left_out, marked = stack.pop(at)
-                gone -= left_out
-                marks -= marked
-                depth_a -= name == "a"
+        if closing:
+            at = opened.innermost(name)
+            if at is None:
+                continue
+            if name in BLOCKS or not opened.in_block_after(at):
+                close_to(at)
+            else:  # an inline end tag beyond a block: only the element itself goes
+                close(at)
             continue
-        attributes = match.group(3)
         if name in BLOCKS:
             flush()
             if name == "p" or name in CLOSES or name in HEADS or name in BARRIERS:
-                ends = CLOSES.get(name, set()) | {"p"}
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in ends:
-                        pop_to(i)
-                    elif stack[i][0] in BARRIERS and not (name in CLOSES and stack[i][0] in ends):
-                        break
+                at = opened.to_close(CLOSES.get(name, set()) | {"p"})
+                if at is not None:
+                    close_to(at)
         elif name == "br":
             add(" ")
         if name in VOID or attributes.rstrip().endswith("/"):
             continue
-        left_out, marked = _away(name, attributes, [t for t, _, _ in stack])
+        left_out, marked = _away(name, attributes, articles > 0)
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, position)
-            if end is None:
+            found = None if name in unended else re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, position)
+            if found is None:
                 if name in ("svg", "math", "noscript", "template"):
+                    unended.add(name)
                     continue  # never closed: the rest is page text
                 break
-            close = html.find(">", end.end())
-            position = n if close < 0 else close + 1
+            after = html.find(">", found.end())
+            position = n if after < 0 else after + 1
             continue
         if marked and name not in BLOCKS and not gone:
             flush()  # a marked span is a block of its own
-        stack.append((name, left_out, marked))
+        opened.push(name, left_out, marked)
         gone += left_out
         marks += marked
         depth_a += name == "a"
-    pop_to(0)
+        articles += name in ("article", "main")
+    close_to(0)
     flush()
     return out
 
@@ -234,15 +364,29 @@ def content(blocks: list[Block]) -> list[Block]:
     for b, score in zip(blocks, fused.tolist(), strict=True):
         best[b.key] = max(best[b.key], score)
     passed = {k for k, score in best.items() if score >= limits[k[1]] and score > 0 and length[k] > 0}
-    containers = {(path[:-1], marked) for path, marked in passed}
+    containers = {(path.parent, marked) for path, marked in passed}
+    known: dict[tuple[Path | None, bool], bool] = {}
+
+    def inside(path: Path, marked: bool) -> bool:
+        """Does a container hold the path? (The page as such is none.)"""
+        way = []
+        while path.parent is not None and path.parent.parent is not None and (path, marked) not in known:
+            way.append(path)
+            if (path.parent, marked) in containers:
+                known[path, marked] = True
+                break
+            path = path.parent
+        answer = known.get((path, marked), False)
+        known.update({(p, marked): answer for p in way})
+        return answer
 
     def chosen(b: Block) -> bool:
         if b.key in passed:
             return True
         path, marked = b.key
-        if not path or 2 * linked[b.key] > total[b.key] or not (b.within or path[-1] in CONTENT_LEAVES):
+        if path.parent is None or 2 * linked[b.key] > total[b.key] or not (b.within or path.tag in CONTENT_LEAVES):
             return False
-        return any((path[:i], marked) in containers for i in range(len(path) - 1, 0, -1))
+        return inside(path, marked)
 
     return [b for b in blocks if chosen(b)]
 
