@@ -5,7 +5,7 @@ code points, so that texts without spaces have many tokens too. Every K
 consecutive tokens give a 64-bit hash (a shorter text: one hash of all its
 tokens). Of every WINDOW consecutive hashes the least is chosen, the rightmost
 on ties, and its position kept: any K + WINDOW - 1 tokens that two texts share
-hold a common fingerprint. Hashes are compared by their upper 33 bits, then
+hold a common fingerprint, which are five, so short texts and edited ones share some. Hashes are compared by their upper 33 bits, then
 position.
 
 Window minima take log2(WINDOW) passes over a row's array: the minimum of 2w
@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 
 from flightmart.llm.common import text_rows
 
-K = 5
-WINDOW = 16
+K = 2
+WINDOW = 4           # a power of two
 RANGE_ROWS = 4096
+MAX_RANGES = 1 << 16  # bounds of ranges that the driver and the plan hold at most; beyond, ranges hold more rows
 _PLACE = (1 << 31) - 1
 
 
@@ -84,7 +85,7 @@ def next_documents(docs: DataFrame, columns: list[str]) -> DataFrame:
     docs = docs.withColumn("_key", key)
     # numbers only: bounds of about RANGE_ROWS documents each
     rows, top = docs.agg(F.count("*"), F.max("_key")).first()
-    ranges = max(1, math.ceil(rows / RANGE_ROWS))
+    ranges = min(max(1, math.ceil(rows / RANGE_ROWS)), MAX_RANGES)
     bounds: list[int] = []
     if ranges > 1:
         shares = [i / ranges for i in range(1, ranges)]
