@@ -4,8 +4,8 @@ A text's features are its byte n-grams of 2, 3 and 4 bytes (ASCII letters in
 lower case), hashed into ``BUCKETS``. Their embeddings are averaged and a
 linear softmax gives the languages' probabilities. Both are trained together by
 stochastic gradient descent in numpy on the driver, from a bounded sample:
-``PER_LANGUAGE`` rows of each language, the first ``TRAIN_CHARS`` characters
-of each (parameters of the training only; predictions read whole texts).
+``PER_LANGUAGE`` rows of each language, ``TRAIN_CHARS`` characters of each from
+a place drawn by hash (parameters of the training only; predictions read whole texts).
 
 One part in five of the sample is held back to calibrate: a temperature that
 minimises the log loss, then the least probability at which accepted
@@ -17,7 +17,7 @@ per bucket and language, the product of both matrices.
 Edge cases: text null or without a letter: ``und``, score 0, not accepted.
 No row to learn from: every text is ``und``. One language: it is always
 predicted. Rows of a null doc_id are held out and not learned from. Repeated
-rows get equal predictions; other columns are not read.
+rows get equal predictions; other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flightmart.llm.common import BYTE_WORDS, U, ascii_lower, map_batches, prepare, utf8
+from flightmart.llm.common import BYTE_WORDS, U, ascii_lower, hashed_window, map_batches, prepare, utf8
 
 PER_LANGUAGE = 1000
 TRAIN_CHARS = 500
@@ -60,7 +60,7 @@ def buckets(data: np.ndarray, k: int) -> np.ndarray:
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, chars: int = TRAIN_CHARS) -> DataFrame:
     """``text, lang``: the same rows for the same table, whatever its layout."""
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
-    rows = rows.select("lang", F.substring("text", 1, chars).alias("text"), F.xxhash64("doc_id", "text").alias("at"))
+    rows = rows.select("lang", hashed_window("text", chars).alias("text"), F.xxhash64("doc_id", "text").alias("at"))
     # of a language with many rows only every so many-th hash is a candidate (four times as many
     # as needed are left), so that what tasks send on doesn't grow with their number
     counts = {r.lang: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
