@@ -82,3 +82,11 @@ def test_column_kinds_take_one_small_aggregate_a_column(spark):
     # 126 counters a row of the feed were too much code for one generated method
     plan = kinds._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("bit_and(") == len(values) and "count(" not in plan
+
+
+def test_nation_texts_are_made_before_the_join(spark):
+    root = tables(spark, [(1, 2, FIRST, 58)])
+    plan = raw_feed(spark, root)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Join")]
+    assert "Field " not in above and "City" not in above
+    assert plan.count("Field ") >= 2
