@@ -79,7 +79,7 @@ def test_column_kinds_take_one_small_aggregate_a_column(spark):
         "whole": "integer", "gaps": "float", "real": "float", "huge": "text", "word": "boolean", "text": "text",
         "none": "empty", "mixed": "text"}
     assert {r.kind for r in column_kinds(df.where("false")).collect()} == {"empty"}
-    # 126 counters a row of the feed were too much code for one generated method
+    # it took six counters a column
     plan = kinds._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("bit_and(") == len(values) and "count(" not in plan
 
