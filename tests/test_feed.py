@@ -90,3 +90,31 @@ def test_nation_texts_are_made_before_the_join(spark):
     above = plan[:plan.index("Join")]
     assert "Field " not in above and "City" not in above
     assert plan.count("Field ") >= 2
+
+
+def test_a_dimension_query_writes_the_columns_it_reads_and_no_raw_copy(spark, monkeypatch):
+    from flightmart.plans import scenario
+
+    written = []
+    scratch = scenario.scratch_path
+    monkeypatch.setattr(scenario, "scratch_path", lambda s, label: written.append(label) or scratch(s, label))
+    monkeypatch.setattr(scenario, "materialize", lambda df, label: written.append(label) or df)
+    root = tables(spark, [(1, 0, FIRST, 58), (3, 1, SECOND, 2)])
+    clean = scenario._clean(spark, root, "dim_airplane")
+    assert written == ["clean"] and clean.count() == 2
+    assert set(clean.columns) == {"batch", "tailnum", "airlinecode", "airlinename"}
+    assert set(scenario._clean(spark, root).columns) == set(scenario.FEED_COLUMNS)
+
+
+def test_parts_of_a_text_are_found_without_regular_expressions(spark):
+    from pyspark.sql import functions as F
+
+    from flightmart.functions import part_after_first, part_before
+
+    texts = ["a:b:c", "a:b", "a:", ":b", ":", "", "none", "::", "é: ü :x"]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select(
+        "t", part_before(F.col("t"), ":").alias("b"), part_after_first(F.col("t"), ":").alias("a"))
+    got = {r.t: (r.b, r.a) for r in df.collect()}
+    assert got == {t: ((t.split(":") + [""])[0], (t.split(":") + [""])[1]) for t in texts} | {None: (None, None)}
+    assert "split_part" not in df._jdf.queryExecution().analyzed().toString()
+    assert "split" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
