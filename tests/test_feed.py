@@ -4,6 +4,7 @@ import datetime as dt
 from collections import Counter
 
 import duckdb
+import pytest
 
 from flightmart.sources.feed import raw_feed
 from flightmart.session import scratch_path
@@ -118,3 +119,41 @@ def test_parts_of_a_text_are_found_without_regular_expressions(spark):
     assert got == {t: ((t.split(":") + [""])[0], (t.split(":") + [""])[1]) for t in texts} | {None: (None, None)}
     assert "split_part" not in df._jdf.queryExecution().analyzed().toString()
     assert "split" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+CITY = ("cityname", "origincityname")
+EVERY = {f"AP{n}" for n in range(25)}
+
+
+@pytest.fixture(scope="module")
+def both_loads(spark):
+    """Every airport is an origin in both loads, with and without its city name."""
+    return tables(spark, [(n, int(day is SECOND), day, part) for n in range(25) for day in (FIRST, SECOND) for part in (58, 2)])
+
+
+def without_city(row):
+    if "attributes" in row:
+        return row["dim"] == "dim_airport" and row["attributes"].endswith("|~")
+    return any(row.get(c) == "None" for c in CITY)
+
+
+@pytest.mark.parametrize("name", ["drop_cancelled", "stage_airport", "surrogate_keys", "current_as_of", "new_airports",
+                                  "version_counts", "scd2_airport", "flights_refresh"])
+def test_every_airport_is_there_without_its_city(spark, both_loads, name):
+    rows = by_spark(spark, both_loads, name)
+    assert rows == by_sql(both_loads, name)
+    found = [r for r in map(dict, rows) if without_city(r)]
+    assert {r.get("airportcode") or r.get("originairportcode") or r["natural_key"] for r in found} == EVERY
+
+
+def test_airports_with_and_without_city_tie(spark, both_loads):
+    rows = {n: by_spark(spark, both_loads, n) for n in ("expiry_candidates", "changed_airports", "vw_flights")}
+    for name, found in rows.items():
+        assert found == by_sql(both_loads, name)
+    assert {dict(r)["natural_key"] for r in rows["expiry_candidates"] if dict(r)["dim"] == "dim_airport"} == EVERY
+    # ties leave no current version that could change
+    assert not rows["changed_airports"]
+    flights = Counter()
+    for r, n in rows["vw_flights"].items():
+        flights[dict(r)["transactionid"]] += n
+    assert len(flights) == 100 and min(flights.values()) >= 4
