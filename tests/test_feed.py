@@ -157,3 +157,13 @@ def test_airports_with_and_without_city_tie(spark, both_loads):
     for r, n in rows["vw_flights"].items():
         flights[dict(r)["transactionid"]] += n
     assert len(flights) == 100 and min(flights.values()) >= 4
+
+
+def test_a_refresh_cleans_each_batch_as_it_is_written(spark, both_loads, monkeypatch):
+    from flightmart.plans import scenario
+
+    written = []
+    scratch = scenario.scratch_path
+    monkeypatch.setattr(scenario, "scratch_path", lambda s, label: written.append(label) or scratch(s, label))
+    assert scenario.q_flights_refresh(spark, both_loads).count() == 50
+    assert written == ["store"]
