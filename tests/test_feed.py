@@ -167,3 +167,29 @@ def test_a_refresh_cleans_each_batch_as_it_is_written(spark, both_loads, monkeyp
     monkeypatch.setattr(scenario, "scratch_path", lambda s, label: written.append(label) or scratch(s, label))
     assert scenario.q_flights_refresh(spark, both_loads).count() == 50
     assert written == ["store"]
+
+
+def test_batches_are_written_without_a_sort(spark, both_loads):
+    import __spark_entry__ as e
+    from flightmart.plans import scenario
+
+    e._prepare(spark)
+    # a task sorts its rows as soon as it has that many folders; there are two batches
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 2
+    clean = scenario._clean(spark, both_loads, "dim_airplane")
+    assert {r.batch: r["count"] for r in clean.groupBy("batch").count().collect()} == {0: 50, 1: 50}
+
+
+def test_usual_flags_are_read_without_folding_case(spark):
+    from pyspark.sql import functions as F
+
+    from flightmart.functions import pg_bool_or_null
+    from flightmart.functions.text import _BOOL_FALSE, _BOOL_TRUE, _BOOL_USUAL
+
+    words = {w: True for w in _BOOL_TRUE} | {w: False for w in _BOOL_FALSE}
+    texts = {f(w): v for w, v in words.items() for f in (str, str.upper, str.capitalize, lambda w: f" {w} ", str.swapcase)}
+    texts |= {t: None for t in ("", "o", "2", "maybe", "truely", None)}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", pg_bool_or_null(F.col("t")).alias("v"))
+    assert {r.t: r.v for r in df.collect()} == texts
+    assert {"True", "False", "T", "F", "0", "1"} <= set(_BOOL_USUAL)
+    assert all(words[w.lower()] is v for w, v in _BOOL_USUAL.items())
