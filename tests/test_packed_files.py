@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from flightmart.plans import scenario
+from flightmart.plans import scenario, scenario_options
 from flightmart.session import scratch_path
 from flightmart.sources import pipe_file
 from flightmart.sources.pipe_file import read_pipe_file, write_pipe_file
@@ -35,7 +35,7 @@ def test_compressed_files_hold_the_same_rows(spark, monkeypatch):
             assert next(lines) == "id|one|two\n" and len(list(lines)) <= 10
 
 
-@pytest.mark.parametrize(("module", "name"), [(scenario, "two_batch_load")])
+@pytest.mark.parametrize(("module", "name"), [(scenario_options, "load_each_file_once"), (scenario, "two_batch_load")])
 def test_loads_read_compressed_files(spark, both_loads, monkeypatch, module, name):  # noqa: F811
     roots = []
     scratch = module.scratch_path
