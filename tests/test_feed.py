@@ -193,3 +193,23 @@ def test_usual_flags_are_read_without_folding_case(spark):
     assert {r.t: r.v for r in df.collect()} == texts
     assert {"True", "False", "T", "F", "0", "1"} <= set(_BOOL_USUAL)
     assert all(words[w.lower()] is v for w, v in _BOOL_USUAL.items())
+
+
+@pytest.fixture(scope="module")
+def one_line_an_airport(spark):
+    """Every airport is once an origin and once a destination without its city name."""
+    return tables(spark, [(n, 24 - n, FIRST, part) for n in range(25) for part in (58, 38)])
+
+
+#: The destinations of flights whose tail number, that of supplier nation + 1, is missing or NKNO: those rows are dropped.
+NO_TAIL = {f"AP{s - 1}" for s in (3, 5, 20, 22)}
+
+
+@pytest.mark.parametrize(("name", "dropped"), [("na_tokens", set())])
+def test_a_filter_keeps_rows_of_every_airport_without_its_city(spark, one_line_an_airport, name, dropped):
+    rows = by_spark(spark, one_line_an_airport, name)
+    assert rows == by_sql(one_line_an_airport, name)
+    found = [dict(r) for r in rows]
+    assert {r["destairportcode"] for r in found if r["destcityname"] == "None"} == EVERY - dropped
+    # the flight from AP<n> goes to AP<24 - n>
+    assert {r["originairportcode"] for r in found if r["origincityname"] == "None"} == EVERY - {f"AP{24 - int(p[2:])}" for p in dropped}
