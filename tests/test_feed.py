@@ -205,7 +205,7 @@ def one_line_an_airport(spark):
 NO_TAIL = {f"AP{s - 1}" for s in (3, 5, 20, 22)}
 
 
-@pytest.mark.parametrize(("name", "dropped"), [("na_tokens", set()), ("drop_diverted", set()), ("drop_bad_tailnum", NO_TAIL)])
+@pytest.mark.parametrize(("name", "dropped"), [("na_tokens", set()), ("drop_diverted", set()), ("drop_bad_tailnum", NO_TAIL), ("clean_flights", NO_TAIL)])
 def test_a_filter_keeps_rows_of_every_airport_without_its_city(spark, one_line_an_airport, name, dropped):
     rows = by_spark(spark, one_line_an_airport, name)
     assert rows == by_sql(one_line_an_airport, name)
